@@ -30,7 +30,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from pricelens.plans import cases_clean  # noqa: F401
-    for mod in ("cases_star", "cases_summary", "cases_parse", "cases_match", "cases_insights",
+    for mod in ("cases_star", "cases_summary", "cases_parse", "cases_verdicts", "cases_match", "cases_insights",
                 "cases_io"):
         try:
             __import__(f"pricelens.plans.{mod}")

@@ -1,0 +1,45 @@
+"""Source / sink round trips through the shared scratch folder."""
+
+from __future__ import annotations
+
+from pricelens import schemas as S
+from pricelens.fixture import view
+from pricelens.operators import clean
+from pricelens.plans import oracle as O
+from pricelens.plans.registry import register
+from pricelens.session import scratch_path
+from pricelens.sources import listings as IO
+
+RUN_DATE = "2024-01-02"
+
+
+@register("scan_listings", O.with_views("raw_listings") +
+          "select *, cast(null as varchar) as raw_payload from raw_listings")
+def q_scan(spark, sf_dir):
+    path = scratch_path(spark, "raw_listings")
+    IO.replace_table(view(spark, sf_dir, "raw_listings"), path, S.RAW_LISTING)
+    return IO.read_listings(spark, path=path)
+
+
+@register("write_clean_roundtrip", O.with_views("raw_listings") + ", " + O.clean_ctes() +
+          f"\nselect *, '{RUN_DATE}' as date from clean")
+def q_clean_roundtrip(spark, sf_dir):
+    root = scratch_path(spark, "clean")
+    IO.write_clean(clean.clean_listings(view(spark, sf_dir, "raw_listings")), root, RUN_DATE)
+    return IO.read_clean(spark, root, RUN_DATE)
+
+
+@register("stage_listings", O.with_views("raw_listings") + """
+select id, product_name, cast(price as double) as price, cast(sale_price as double) as sale_price,
+ coalesce(on_sale, false) as on_sale, source, url, category, brand, sku, scraped_at,
+ cast(null as varchar) as raw_payload from raw_listings""")
+def q_stage_listings(spark, sf_dir):
+    return IO.stage_listings(view(spark, sf_dir, "raw_listings"))
+
+
+@register("stage_matched", O.with_views("matched_products") + """
+select id, ebay_listing_id, bestbuy_listing_id, canonical_name, brand, model_number,
+ cast(confidence_score as double) as confidence_score, coalesce(is_match, false) as is_match, matched_at
+from matched_products""")
+def q_stage_matched(spark, sf_dir):
+    return IO.stage_matched(view(spark, sf_dir, "matched_products"))

@@ -80,9 +80,18 @@ VIEW_BASES = {
 }
 
 
+# Fact-like inputs whose scan may be under-split (a file of one row group).
+_SPREAD_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
+
+
 def register_base_tables(spark: SparkSession, sf_dir: str, names=("lineitem", "part", "events")) -> None:
+    from pricelens.operators.partitioning import ensure_parallelism
+
     for name in names:
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").createOrReplaceTempView(name)
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        if name in _SPREAD_KEYS:
+            df = ensure_parallelism(df, _SPREAD_KEYS[name])
+        df.createOrReplaceTempView(name)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -80,11 +80,14 @@ def sunday_week(ts) -> Column:
     return F.floor((F.dayofyear(t) + 7 - F.dayofweek(t)) / 7).cast("bigint")
 
 
-def brand_from_title(title="title") -> Column:
+def brand_from_title(title="title", upper_title=None) -> Column:
     """First known brand contained in the title (case-insensitive substring,
-    list order), else the first whitespace token, else 'Unknown'."""
+    list order), else the first whitespace token, else 'Unknown'.
+
+    Pass `upper_title` (an already computed upper-case column) to avoid
+    re-evaluating upper() in every branch."""
     t = _col(title)
-    up = F.upper(t)
+    up = F.upper(t) if upper_title is None else _col(upper_title)
     hits = [F.when(up.contains(b.upper()), F.lit(b)) for b in C.KNOWN_BRANDS]
     first_token = F.nullif(F.regexp_extract(t, r"^\s*(\S+)", 1), F.lit(""))
     return F.coalesce(*hits, first_token, F.lit(C.UNKNOWN_TITLE_BRAND))

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from pricelens import constants as C
 from pricelens.functions.similarity import difflib_similarity, length_bound, name_len
-from pricelens.operators.joins import broadcast_if_small, row_count_at_most, salted_join
+from pricelens.operators.joins import row_count_at_most, salted_join
+from pricelens.session import ensure_checkpoint_dir
 
 Scorer = Callable[[Column, Column], Column]
 
@@ -52,12 +53,15 @@ def name_pairs(listings: DataFrame, min_sim: float = C.MIN_SIMILARITY,
     else:
         ratio_max = 7.0
     lm = matchable(listings)
-    rb = (lm.filter(F.col("source") == C.SOURCE_RETAILER)
-            .select("category", F.col("product_name").alias("bestbuy_name")).distinct()
-            .withColumn("la", name_len("bestbuy_name")))
-    eb = (lm.filter(F.col("source") == C.SOURCE_MARKETPLACE)
-            .select("category", F.col("product_name").alias("ebay_name")).distinct()
-            .withColumn("lb", name_len("ebay_name")))
+    # One distinct over (category, source, name); both sides read it, so the
+    # exchange under it is computed once and reused.
+    names = lm.select("category", "source", "product_name").distinct()
+    rb = (names.filter(F.col("source") == C.SOURCE_RETAILER)
+               .select("category", F.col("product_name").alias("bestbuy_name"))
+               .withColumn("la", name_len("bestbuy_name")))
+    eb = (names.filter(F.col("source") == C.SOURCE_MARKETPLACE)
+               .select("category", F.col("product_name").alias("ebay_name"))
+               .withColumn("lb", name_len("ebay_name")))
     eb = (eb.withColumn("bucket", _bucket(F.col("lb")))
             .withColumn("salt", F.pmod(F.xxhash64("ebay_name"), F.lit(salt_buckets)))
             .withColumnRenamed("category", "ecat"))
@@ -126,6 +130,11 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     # Null-safe category key as two plain columns so both join paths agree.
     b = b.withColumn("_cn", F.col("bcat").isNull()).withColumn("_ck", F.coalesce("bcat", F.lit("")))
     nt = nt.withColumn("_cn", F.col("bcat").isNull()).withColumn("_ck", F.coalesce("bcat", F.lit(""))).drop("bcat")
+    # Written once to the shared checkpoint folder: the scorer runs exactly
+    # once, the size check below reads the written rows, and the lineage of
+    # the expansion starts here (a lost executor does not re-score).
+    ensure_checkpoint_dir(nt.sparkSession)
+    nt = nt.checkpoint(eager=True)
     if row_count_at_most(nt, broadcast_rows):
         per_listing = b.join(F.broadcast(nt), on=["_cn", "_ck", "bname"])
     else:

@@ -13,8 +13,8 @@ LISTING_COLUMNS = ("product_name", "price", "sale_price", "on_sale", "source", "
                    "category", "brand", "sku", "scraped_at", "raw_payload")
 
 
-def extract_brand(title) -> Column:
-    return brand_from_title(title)
+def extract_brand(title, upper_title=None) -> Column:
+    return brand_from_title(title, upper_title)
 
 
 def parse_items(df: DataFrame, item_col: str = "item", category_col: str = "category",
@@ -27,21 +27,25 @@ def parse_items(df: DataFrame, item_col: str = "item", category_col: str = "cate
     on sale. Missing title / url / item id become ''. Unparsable numbers are
     treated as missing. The item text is kept whole as raw_payload.
     """
-    it = F.from_json(F.col(item_col), S.MARKETPLACE_ITEM)
+    # Parse once into its own column: reading fields straight off from_json
+    # lets the optimizer split it into one pruned parse per field.
+    keep = [k for k in keep if k in df.columns]
+    parsed = df.select(*keep, F.col(item_col).alias("_item"), F.col(category_col).alias("_cat"),
+                       F.from_json(F.col(item_col), S.MARKETPLACE_ITEM).alias("_j"))
+    it = F.col("_j")
     cur = F.coalesce(it["price"]["value"].try_cast("double"), F.lit(0.0))
     orig_txt = it["marketingPrice"]["originalPrice"]["value"]
     orig = F.when(orig_txt != "", orig_txt.try_cast("double"))
     title = F.coalesce(it["title"], F.lit(""))
     ts = F.lit(None).cast("timestamp_ntz") if scraped_at is None else (
         scraped_at if isinstance(scraped_at, Column) else F.lit(scraped_at).cast("timestamp_ntz"))
-    staged = df.select(*[F.col(k) for k in keep if k in df.columns],
-                       F.col(item_col).alias("_item"), F.col(category_col).alias("_cat"),
-                       cur.alias("_cur"), orig.alias("_orig"), title.alias("_title"),
-                       F.coalesce(it["itemWebUrl"], F.lit("")).alias("_url"),
-                       F.coalesce(it["itemId"], F.lit("")).alias("_sku"))
+    staged = parsed.select(*keep, "_item", "_cat", cur.alias("_cur"), orig.alias("_orig"), title.alias("_title"),
+                           F.coalesce(it["itemWebUrl"], F.lit("")).alias("_url"),
+                           F.coalesce(it["itemId"], F.lit("")).alias("_sku"))
+    staged = staged.withColumn("_up", F.upper(F.col("_title")))
     on_sale = F.coalesce(F.col("_cur") < F.col("_orig"), F.lit(False))
     return staged.select(
-        *[F.col(k) for k in keep if k in df.columns],
+        *keep,
         F.col("_title").alias("product_name"),
         F.when(F.col("_orig").isNotNull() & (F.col("_orig") != 0), F.col("_orig"))
          .otherwise(F.col("_cur")).alias("price"),
@@ -50,7 +54,7 @@ def parse_items(df: DataFrame, item_col: str = "item", category_col: str = "cate
         F.lit(C.SOURCE_MARKETPLACE).alias("source"),
         F.col("_url").alias("url"),
         F.col("_cat").alias("category"),
-        extract_brand(F.col("_title")).alias("brand"),
+        extract_brand(F.col("_title"), F.col("_up")).alias("brand"),
         F.col("_sku").alias("sku"),
         ts.alias("scraped_at"),
         F.col("_item").alias("raw_payload"),

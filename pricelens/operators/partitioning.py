@@ -1,0 +1,20 @@
+"""Input parallelism guard."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition `df` on `keys` when its scan plans fewer partitions
+    than the cluster can run at once (e.g. a file written as one row group).
+
+    At scale a scan has far more splits than cores and this is a no-op; for
+    an under-split input it trades one shuffle for using every core in the
+    CPU-heavy steps that follow. Hashing (not round-robin) keeps the
+    placement deterministic when a task is re-run.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)

@@ -80,7 +80,7 @@ def run_matcher(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dic
     valid, _ = V.validate_verdicts(scored)
     stamp = F.lit(cfg.run_ts).cast("timestamp_ntz")
     rows = valid.select(
-        (F.xxhash64("ebay_listing_id", "bestbuy_listing_id", stamp) & F.lit(0x7FFFFFFFFFFFFFFF)).alias("id"),
+        F.xxhash64("ebay_listing_id", "bestbuy_listing_id", stamp).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).alias("id"),
         "ebay_listing_id", "bestbuy_listing_id", "canonical_name", "brand", "model_number",
         F.col("confidence").alias("confidence_score"), "is_match", stamp.alias("matched_at"))
     IO.conform(rows, S.MATCHED_PRODUCT).write.mode("append").parquet(target)

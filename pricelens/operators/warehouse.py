@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pricelens import constants as C
 from pricelens.functions import columns as X
 from pricelens.operators.joins import broadcast_if_small
+from pricelens.session import ensure_checkpoint_dir
 
 
 def _opt(df: DataFrame, name: str, typ: str):
@@ -104,40 +105,79 @@ def dim_category(stg: DataFrame) -> DataFrame:
 
 
 def fact_price_snapshot(stg: DataFrame, p: DataFrame, s: DataFrame, t: DataFrame,
-                        c: DataFrame, broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
+                        c: DataFrame, dims_materialized: bool = False,
+                        broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
     """Listings left-joined to the four dimensions.
 
-    dim_source / dim_category are broadcast behind a row-count check;
-    dim_product / dim_time grow with the data and are left to the shuffle
-    join, where AQE can turn them into broadcasts at runtime or split a
-    skewed (hot-product) partition.
+    With `dims_materialized` (the dims are written tables, as in the
+    pipeline) dim_source / dim_category are broadcast after a cheap row-count
+    check of those tables. Otherwise no hint is given: counting a lazily
+    built dim would rescan the listings, so AQE makes the call at runtime
+    from the measured shuffle size. dim_product / dim_time grow with the data
+    and go to shuffle joins, which AQE may convert to broadcasts or split
+    when a hot product skews a partition.
     """
     l = stg.alias("l")
-    s_ = broadcast_if_small(s, broadcast_rows).alias("s")
-    c_ = broadcast_if_small(c, broadcast_rows).alias("c")
+    if dims_materialized:
+        s, c = broadcast_if_small(s, broadcast_rows), broadcast_if_small(c, broadcast_rows)
+    s_, c_ = s.alias("s"), c.alias("c")
     j = (l.join(p.alias("p"), F.col("l.product_name") == F.col("p.canonical_name"), "left")
           .join(s_, F.col("l.marketplace_source") == F.col("s.marketplace_name"), "left")
           .join(t.alias("t"), F.col("l.scraped_at") == F.col("t.scraped_at"), "left")
           .join(c_, F.col("l.category") == F.col("c.category_name"), "left"))
-    return j.select(
-        F.md5(F.concat_ws(C.SURROGATE_SEP,
-                          F.coalesce(F.col("l.listing_id").cast("string"), F.lit(C.SURROGATE_NULL)),
-                          F.coalesce(X.ts_text(F.col("l.scraped_at")), F.lit(C.SURROGATE_NULL))))
-         .alias("snapshot_id"),
+    return j.select(*_fact_columns(
         F.col("p.product_key"), F.col("s.source_key"), F.col("t.time_key"), F.col("c.category_key"),
-        F.col("l.price").alias("price"),
-        F.col("l.on_sale").alias("was_on_sale"),
-        X.discount_pct(F.col("l.price"), F.col("l.sale_price")).alias("discount_pct"),
-        F.lit(True).alias("in_stock"),
-    )
+        F.col("l.price"), F.col("l.on_sale"), F.col("l.sale_price"), F.col("l.listing_id"), F.col("l.scraped_at")))
+
+
+def _fact_columns(product_key, source_key, time_key, category_key, price, on_sale, sale_price,
+                  listing_id, scraped_at) -> list:
+    return [
+        F.md5(F.concat_ws(C.SURROGATE_SEP,
+                          F.coalesce(listing_id.cast("string"), F.lit(C.SURROGATE_NULL)),
+                          F.coalesce(X.ts_text(scraped_at), F.lit(C.SURROGATE_NULL)))).alias("snapshot_id"),
+        product_key.alias("product_key"), source_key.alias("source_key"), time_key.alias("time_key"),
+        category_key.alias("category_key"), price.alias("price"), on_sale.alias("was_on_sale"),
+        X.discount_pct(price, sale_price).alias("discount_pct"), F.lit(True).alias("in_stock"),
+    ]
+
+
+def fact_from_staging(stg: DataFrame, broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
+    """The fact when the four dims are built from this same `stg`, without
+    shuffling the listings.
+
+    Equivalent row for row to `fact_price_snapshot(stg, dim_*(stg))`:
+    every dim key is a pure function of its natural key, and a listing finds
+    its dim row exactly when that key is not NULL (the joins use `=`). The
+    only multiplication is dim_product's: a name listed under n distinct
+    brands matches n rows (the fan-out the `unique` check reports), so each
+    listing is repeated n times. The per-name n table (one row per distinct
+    name) is checkpointed, size-checked and broadcast; beyond the bound it is
+    joined by shuffle.
+    """
+    copies = (stg.select("product_name", "brand").distinct()
+                 .filter(F.col("product_name").isNotNull())
+                 .groupBy("product_name").agg(F.count(F.lit(1)).alias("_copies")))
+    ensure_checkpoint_dir(stg.sparkSession)
+    copies = copies.checkpoint(eager=True)
+    copies = broadcast_if_small(copies, broadcast_rows)
+    j = stg.join(copies, "product_name", "left")
+    j = j.withColumn("_rep", F.explode(F.array_repeat(F.lit(0), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))))
+    name, src, ts, cat = (F.col("product_name"), F.col("marketplace_source"), F.col("scraped_at"), F.col("category"))
+    return j.select(*_fact_columns(
+        F.when(F.col("_copies").isNotNull(), X.surrogate_key(name)),
+        F.when(src.isNotNull(), X.surrogate_key(src)),
+        F.when(ts.isNotNull(), X.surrogate_key_ts(ts)),
+        F.when(cat.isNotNull(), X.surrogate_key(cat)),
+        F.col("price"), F.col("on_sale"), F.col("sale_price"), F.col("listing_id"), ts))
 
 
 def build_star(raw: DataFrame, matches: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All marts from one staged listing frame."""
+    """All marts from one staged listing frame (fact via `fact_from_staging`)."""
     stg = stg_listings(raw)
     p, s, t, c = dim_product(stg, matches), dim_source(stg), dim_time(stg), dim_category(stg)
     return {"stg_listings": stg, "dim_product": p, "dim_source": s, "dim_time": t,
-            "dim_category": c, "fact_price_snapshot": fact_price_snapshot(stg, p, s, t, c)}
+            "dim_category": c, "fact_price_snapshot": fact_from_staging(stg)}
 
 
 def product_fanout(stg: DataFrame) -> DataFrame:

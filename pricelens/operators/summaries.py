@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens import constants as C
@@ -16,18 +16,19 @@ def count_by(df: DataFrame, *cols: str, name: str = "listings") -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))
 
 
-def clean_counts(raw: DataFrame, tie: str = "id") -> DataFrame:
-    """Input / after-dedup / removed / output counts of the clean job in one
-    pass: the dedup rank is computed once and every counter is a conditional
-    count over it."""
-    w = Window.partitionBy(*DEDUP_KEYS).orderBy(F.col("scraped_at").desc_nulls_last(),
-                                                F.col(tie).desc_nulls_last())
-    ranked = raw.select((F.row_number().over(w) == 1).alias("kept"), F.col("price"))
-    return ranked.agg(
-        F.count(F.lit(1)).alias("input_rows"),
-        F.count_if("kept").alias("dedup_rows"),
-        F.count_if(~F.col("kept")).alias("removed_duplicates"),
-        F.count_if(F.col("kept") & (F.col("price") > 0)).alias("output_rows"),
+def clean_counts(raw: DataFrame) -> DataFrame:
+    """Input / after-dedup / removed / output counts of the clean job.
+
+    Dedup keeps one row per (name, source, price) group and the price filter
+    is on a group key, so every counter follows from one partial-aggregated
+    group count: no window, no hot task for a heavy key.
+    """
+    g = raw.groupBy(*DEDUP_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    return g.agg(
+        F.sum("n").cast("bigint").alias("input_rows"),
+        F.count(F.lit(1)).alias("dedup_rows"),
+        (F.sum("n") - F.count(F.lit(1))).cast("bigint").alias("removed_duplicates"),
+        F.count_if(F.col("price") > 0).alias("output_rows"),
     )
 
 

@@ -147,7 +147,8 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
         per_listing = per_listing.join(ex, ["ebay_listing_id", "bestbuy_listing_id"], "left_anti")
 
     wl = Window.partitionBy("bestbuy_listing_id").orderBy(F.col("similarity").desc(), F.col("ebay_listing_id"))
-    top = per_listing.withColumn("rank", F.row_number().over(wl)).filter(F.col("rank") <= k)
+    top = (per_listing.withColumn("rank", F.row_number().over(wl)).filter(F.col("rank") <= k)
+                      .withColumn("rank", F.col("rank").cast("bigint")))
     return top.select(F.col("bcat").alias("category"), "bestbuy_listing_id",
                       F.col("bname").alias("bestbuy_name"), "bestbuy_price", "ebay_listing_id",
                       "ebay_name", "ebay_price", "similarity", "rank")

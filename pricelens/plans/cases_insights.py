@@ -77,7 +77,7 @@ RAW_EFF = O.with_views("raw_listings") + f""", e as (select *, {O.eff_sql()} as
    sum(n) over w as bn, sum(s1) over w as bs1, sum(s2) over w as bs2 from d
    window w as (partition by product_name, source order by datediff('day', date '1970-01-01', day)
      range between {C.ANOMALY_LOOKBACK_DAYS} preceding and 1 preceding)),
- b2 as (select product_name, source, day, bn as baseline_n, cast(bs1 as double) / cast(bn as double) as baseline_mean,
+ b2 as (select product_name, source, day, cast(bn as bigint) as baseline_n, cast(bs1 as double) / cast(bn as double) as baseline_mean,
    sqrt(cast(cast(bn as decimal(38,0)) * bs2 - bs1 * bs1 as double) / cast(bn * (bn - 1) as double)) as baseline_std
    from b where bn >= {C.ANOMALY_MIN_OBS}),
  z as (select e.id, e.product_name, e.source, e.scraped_at, e.effective_price, b2.baseline_n, b2.baseline_mean,

@@ -98,3 +98,11 @@ def test_name_pairs_cover_all_qualifying(spark, small):
             la, lb = len(b.lower()), len(e.lower())
             bound = 1.0 if la + lb == 0 else 2 * min(la, lb) / (la + lb)
             assert ((c, b, e) in got) == (bound >= 0.25)
+
+
+def test_salted_expansion_equals_broadcast(spark, small):
+    raw, rows = small
+    ex = spark.createDataFrame([(0, 0)], "ebay_listing_id long, bestbuy_listing_id long")
+    a = _spark_result(M.candidates(raw, ex))
+    b = _spark_result(M.candidates(raw, ex, broadcast_rows=0, salt_buckets=5))
+    assert a == b

@@ -35,3 +35,8 @@ def test_fact_plans_agree_on_nulls(spark):
                                       "scraped_at timestamp_ntz")
     a, b = _both(stg)
     assert a == b and sum(a.values()) == 1 + 2 * 2 + 1   # two 'p' rows x brands {None, 'y'}
+
+
+def test_fact_shuffle_path_equals_broadcast_path(spark):
+    stg = W.stg_listings(view(spark, SF_SMALL, "raw_listings"))
+    assert _bag(W.fact_from_staging(stg)) == _bag(W.fact_from_staging(stg, broadcast_rows=0))

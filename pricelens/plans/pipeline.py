@@ -7,7 +7,10 @@ lineage of another. Counters come from observations of the writes.
 
 from __future__ import annotations
 
+import argparse
+import json
 import logging
+from datetime import datetime, timezone
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -26,6 +29,11 @@ from pricelens.sources import listings as IO
 log = logging.getLogger(__name__)
 
 
+def utc_run_date(now: datetime | None = None) -> str:
+    """The run's UTC date as YYYY-MM-DD (the clean output partition)."""
+    return (now or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%d")
+
+
 @dataclass
 class PipelineConfig:
     listings_path: str                 # raw listing table (Parquet)
@@ -140,3 +148,23 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     summary["checks"] = [r.asDict() for r in spark.read.parquet(
         f"{cfg.out_root}/quality/run_date={cfg.run_date}").collect()]  # a dozen rows
     return summary
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line: run the batch against a listing table."""
+    ap = argparse.ArgumentParser(description="Run clean -> match -> star -> checks.")
+    ap.add_argument("--listings", required=True, help="listing table (Parquet)")
+    ap.add_argument("--out", required=True, help="shared output root")
+    ap.add_argument("--run-date", default=None)
+    ap.add_argument("--run-ts", default=None)
+    ap.add_argument("--max-pairs", type=int, default=C.MAX_PAIRS_PER_RUN)
+    a = ap.parse_args(argv)
+    now = datetime.now(timezone.utc)
+    spark = SparkSession.builder.appName("pricelens").getOrCreate()
+    cfg = PipelineConfig(listings_path=a.listings, out_root=a.out, run_date=a.run_date or utc_run_date(now),
+                         run_ts=a.run_ts or now.strftime("%Y-%m-%d %H:%M:%S"), max_pairs=a.max_pairs)
+    print(json.dumps(run_pipeline(spark, cfg), default=str))
+
+
+if __name__ == "__main__":
+    main()

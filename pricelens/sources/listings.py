@@ -209,3 +209,29 @@ def replace_table(df: DataFrame, target: str, schema: T.StructType | None = None
 def write_sample_json(df: DataFrame, path: str, n: int = 10, order: str = "id") -> None:
     """First `n` rows (by `order`) as JSON, for hand inspection."""
     df.orderBy(order).limit(n).coalesce(1).write.mode("overwrite").json(path)
+
+
+def reload_tables(listings: DataFrame, listings_target: str, matches_target: str | None = None,
+                  fmt: str = "parquet") -> int:
+    """Clear-and-reload: empty the verdict table first (its rows point at
+    listing ids that are about to change), then replace the listings."""
+    spark = listings.sparkSession
+    if matches_target is not None:
+        spark.createDataFrame([], S.MATCHED_PRODUCT).write.mode("overwrite").format(fmt).save(matches_target)
+    return replace_table(listings, listings_target, S.RAW_LISTING, skip_if_empty=False, fmt=fmt)
+
+
+WAREHOUSE_TABLES = ("raw_listings", "raw_matched_products", "stg_listings", "dim_product", "dim_source",
+                    "dim_time", "dim_category", "fact_price_snapshot")
+
+
+def register_warehouse_views(spark: SparkSession, root: str) -> list[str]:
+    """Temp views over the written warehouse tables so they can be queried
+    with SQL by name; tables not written yet are skipped."""
+    names = []
+    for name in WAREHOUSE_TABLES:
+        path = f"{root.rstrip('/')}/{name}"
+        if _exists(spark, path):
+            spark.read.parquet(path).createOrReplaceTempView(name)
+            names.append(name)
+    return names

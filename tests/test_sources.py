@@ -94,3 +94,23 @@ def test_jdbc_options_are_partitioned():
     assert opts["partitionColumn"] == "id" and opts["numPartitions"] == "8"
     assert (opts["lowerBound"], opts["upperBound"]) == ("1", "1001")
     # No JDBC driver jar is available offline, so no live read is tested.
+
+
+def test_reload_and_views(spark, tmp_root):
+    raw = view(spark, SF_SMALL, "raw_listings")
+    lt, mt = os.path.join(tmp_root, "l"), os.path.join(tmp_root, "m")
+    view(spark, SF_SMALL, "matched_products").write.parquet(mt)
+    assert IO.reload_tables(raw, lt, mt) == raw.count()
+    assert spark.read.parquet(mt).count() == 0
+    wh = os.path.join(tmp_root, "wh")
+    IO.replace_table(raw, os.path.join(wh, "raw_listings"))
+    assert IO.register_warehouse_views(spark, wh) == ["raw_listings"]
+    assert spark.sql("select count(*) from raw_listings").first()[0] == raw.count()
+
+
+def test_utc_run_date():
+    import datetime as dt
+    from pricelens.plans.pipeline import utc_run_date
+
+    t = dt.datetime(2024, 1, 1, 23, 30, tzinfo=dt.timezone(dt.timedelta(hours=-5)))
+    assert utc_run_date(t) == "2024-01-02"

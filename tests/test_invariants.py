@@ -1,0 +1,57 @@
+"""Invariants and property tests."""
+
+import re
+from pathlib import Path
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+
+from pricelens import constants as C
+from pricelens.fixture import view
+from pricelens.operators import clean
+from pricelens.operators import summaries as A
+from pricelens.operators import warehouse as W
+
+ROOT = Path(__file__).resolve().parents[1]
+
+
+def test_clean_output_is_subset_and_buckets_add_up(spark):
+    raw = view(spark, SF_SMALL, "raw_listings")
+    out = clean.clean_listings(raw)
+    n = out.count()
+    assert n > 0
+    keys = ["product_name", "source", "sku", "scraped_at"]
+    assert out.select(*keys).join(raw.select(*keys), keys, "left_anti").count() == 0
+    assert A.count_by(out, "price_bucket").agg(F.sum("listings")).first()[0] == n
+    assert out.filter(F.col("price").isNull() | (F.col("price") <= 0)).count() == 0
+
+
+def test_fact_one_row_per_listing_when_names_unique(spark):
+    stg = W.stg_listings(view(spark, SF_SMALL, "star_listings"))
+    fact = W.build_star(view(spark, SF_SMALL, "star_listings"))["fact_price_snapshot"]
+    assert fact.count() == stg.count()
+    assert fact.select("snapshot_id").distinct().count() == stg.count()
+
+
+_TOKENS = ["Inc.", "inc", "Corp", "corp.", "Ltd.", "co.", "Co", "Electronics", "corporation", "Sam", "Cisco",
+           "Zinc", "LG", " ", "  ", ",", "x"]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(_TOKENS), min_size=0, max_size=6).map(lambda xs: " ".join(xs)))
+def test_brand_rule_matches_python_regex(spark, text):
+    want = re.sub(C.BRAND_SUFFIX_PATTERN, "", text.strip(" ").lower(), count=0).strip(" ")
+    got = clean.normalize_brands(spark.createDataFrame([(text,)], "brand string")).first()[0]
+    assert got == want
+
+
+def test_library_never_pulls_results_to_driver():
+    offenders = []
+    for p in (ROOT / "pricelens").rglob("*.py"):
+        for i, line in enumerate(p.read_text().splitlines(), 1):
+            if ".toPandas(" in line or (".collect()" in line and "a dozen rows" not in line):
+                offenders.append(f"{p.name}:{i}: {line.strip()}")
+    assert offenders == []

@@ -84,12 +84,16 @@ def discount_frequency(df: DataFrame) -> DataFrame:
     )
 
 
-def price_history(df: DataFrame, as_of: str, days: int = 30, names: DataFrame | None = None) -> DataFrame:
-    """Snapshots in [as_of - days, as_of] (optionally only watched names).
-    `as_of` is a parameter; nothing here reads the clock."""
+def price_history(df: DataFrame, as_of: str, days: int = 30, names: DataFrame | None = None,
+                  name: str | None = None) -> DataFrame:
+    """Snapshots in [as_of - days, as_of], optionally for one product `name`
+    or the names of a watchlist DataFrame. `as_of` is a parameter; nothing
+    here reads the clock."""
     hi = F.lit(as_of).cast("timestamp_ntz")
     lo = hi - F.make_dt_interval(F.lit(days))
     out = df.filter((F.col("scraped_at") >= lo) & (F.col("scraped_at") <= hi))
+    if name is not None:
+        out = out.filter(F.col("product_name") == name)
     if names is not None:
         out = watchlist(out, names)
     return _eff(out).select("id", "product_name", "source", "scraped_at", "price", "sale_price",

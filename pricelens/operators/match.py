@@ -89,8 +89,10 @@ def max_exclusions(existing: DataFrame | None) -> int:
 def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int = C.MAX_CANDIDATES,
                min_sim: float = C.MIN_SIMILARITY, scorer: Scorer = difflib_similarity,
                salt_buckets: int = C.DEFAULT_SALT_BUCKETS,
-               broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
+               broadcast_rows: int = C.BROADCAST_MAX_ROWS, max_pairs: int | None = None) -> DataFrame:
     """Top-`k` marketplace candidates per retailer listing (see module doc).
+    With `max_pairs`, only the first pairs of the run order are returned
+    (`cap_pairs`).
 
     Columns: category, bestbuy_listing_id, bestbuy_name, bestbuy_price,
     ebay_listing_id, ebay_name, ebay_price, similarity, rank.
@@ -149,9 +151,10 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     wl = Window.partitionBy("bestbuy_listing_id").orderBy(F.col("similarity").desc(), F.col("ebay_listing_id"))
     top = (per_listing.withColumn("rank", F.row_number().over(wl)).filter(F.col("rank") <= k)
                       .withColumn("rank", F.col("rank").cast("bigint")))
-    return top.select(F.col("bcat").alias("category"), "bestbuy_listing_id",
-                      F.col("bname").alias("bestbuy_name"), "bestbuy_price", "ebay_listing_id",
-                      "ebay_name", "ebay_price", "similarity", "rank")
+    out = top.select(F.col("bcat").alias("category"), "bestbuy_listing_id",
+                     F.col("bname").alias("bestbuy_name"), "bestbuy_price", "ebay_listing_id",
+                     "ebay_name", "ebay_price", "similarity", "rank")
+    return out if max_pairs is None else cap_pairs(out, max_pairs)
 
 
 def cap_pairs(cands: DataFrame, max_pairs: int = C.MAX_PAIRS_PER_RUN) -> DataFrame:

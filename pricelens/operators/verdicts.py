@@ -78,6 +78,9 @@ def rule_verdicts(pairs: DataFrame) -> DataFrame:
     )
 
 
+rule_scorer = rule_verdicts
+
+
 def verdict_json(df: DataFrame) -> DataFrame:
     """Pack verdict columns into one JSON text column `verdict`."""
     return df.withColumn("verdict", F.to_json(F.struct(*[F.col(c) for c in VERDICT_COLUMNS])))

@@ -8,7 +8,6 @@ can check ranking, exclusions and the cap row for row.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from pricelens import constants as C
 from pricelens.fixture import view

@@ -15,7 +15,6 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pricelens import constants as C
 from pricelens import schemas as S
@@ -86,12 +85,7 @@ def run_matcher(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dic
     scored = spark.read.parquet(verdict_path)
 
     valid, _ = V.validate_verdicts(scored)
-    stamp = F.lit(cfg.run_ts).cast("timestamp_ntz")
-    rows = valid.select(
-        F.xxhash64("ebay_listing_id", "bestbuy_listing_id", stamp).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).alias("id"),
-        "ebay_listing_id", "bestbuy_listing_id", "canonical_name", "brand", "model_number",
-        F.col("confidence").alias("confidence_score"), "is_match", stamp.alias("matched_at"))
-    IO.conform(rows, S.MATCHED_PRODUCT).write.mode("append").parquet(target)
+    IO.append_matches(valid, target, cfg.run_ts)
     stats = V.run_stats(V.verdict_outcomes(scored)).first().asDict()
     return {"matches_path": target, **stats}
 

@@ -2,6 +2,7 @@
 
 from pricelens.sources.listings import (  # noqa: F401
     append_listings,
+    append_matches,
     archive_raw,
     read_listing_json,
     read_listings,

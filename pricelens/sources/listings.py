@@ -235,3 +235,15 @@ def register_warehouse_views(spark: SparkSession, root: str) -> list[str]:
             spark.read.parquet(path).createOrReplaceTempView(name)
             names.append(name)
     return names
+
+
+def append_matches(valid: DataFrame, target: str, matched_at, fmt: str = "parquet") -> None:
+    """Append validated verdicts (one row per scored pair) to the verdict
+    table, stamped with the run time. Ids are a deterministic hash of the
+    pair and the stamp, so a retried write produces the same rows."""
+    stamp = F.lit(matched_at).cast("timestamp_ntz")
+    rows = valid.select(
+        F.xxhash64("ebay_listing_id", "bestbuy_listing_id", stamp).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)).alias("id"),
+        "ebay_listing_id", "bestbuy_listing_id", "canonical_name", "brand", "model_number",
+        F.col("confidence").alias("confidence_score"), "is_match", stamp.alias("matched_at"))
+    conform(rows, S.MATCHED_PRODUCT).write.mode("append").format(fmt).save(target)

@@ -14,7 +14,11 @@ def ensure_parallelism(df: DataFrame, keys: list[str], min_partitions: int | Non
     CPU-heavy steps that follow. Hashing (not round-robin) keeps the
     placement deterministic when a task is re-run.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        planned = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the plan as it is
+        return df
+    if planned >= target:
         return df
     return df.repartition(target, *keys)

@@ -47,15 +47,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster `spark.checkpoint.dir` points to shared storage and is used
     as it is. Only when nothing is set (local tests) do we create one.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: only the session conf is reachable
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="pricelens-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    if sc is not None:
+        sc.setCheckpointDir(conf_dir)
+        return sc.getCheckpointDir() or conf_dir
+    spark.conf.set("spark.checkpoint.dir", conf_dir)
+    return conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricelens import constants as C
 from pricelens import schemas as S
@@ -46,6 +47,39 @@ class PipelineConfig:
     extra: dict = field(default_factory=dict)
 
 
+def run_ingest_items(spark: SparkSession, items: DataFrame, listings_target: str, ingest_ts: str,
+                     archive_root: str | None = None, sample_path: str | None = None,
+                     item_col: str = "item", category_col: str = "category") -> dict:
+    """Marketplace ingest: keep the raw items, parse them into listings,
+    append them stamped with the batch time (one job, all or nothing), and
+    optionally write the first 10 parsed rows as a JSON sample."""
+    from pricelens.operators.parse import parse_items
+
+    archived = IO.archive_raw(items.select(item_col, category_col), archive_root, C.SOURCE_MARKETPLACE,
+                              ingest_ts.replace(" ", "T"))
+    parsed = parse_items(items, item_col=item_col, category_col=category_col, scraped_at=ingest_ts, keep=())
+    IO.append_listings(parsed, listings_target, id_offset=_next_id(spark, listings_target))
+    if sample_path:
+        IO.write_sample_json(parsed, sample_path, 10, order="sku")
+    return {"archived": archived, "listings_target": listings_target}
+
+
+def run_ingest_files(spark: SparkSession, paths: list[str], listings_target: str,
+                     batch_ts: str | None = None) -> dict:
+    """Listing JSON files (missing ones skipped) appended to the table."""
+    df = IO.read_listing_json(spark, paths)
+    IO.append_listings(df, listings_target, batch_ts=batch_ts, id_offset=_next_id(spark, listings_target))
+    return {"listings_target": listings_target}
+
+
+def _next_id(spark: SparkSession, target: str) -> int:
+    """First free id of the listing table (one max over the id column)."""
+    if not IO._exists(spark, target):
+        return 1
+    m = spark.read.schema(S.RAW_LISTING).parquet(target).agg(F.max("id")).first()[0]
+    return int(m or 0) + 1
+
+
 def run_clean(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dict:
     """Clean job: one write action; counters observed on the way."""
     out, (o_in, o_dd, o_out) = CL.clean_listings_observed(raw)

@@ -55,3 +55,21 @@ def test_landing_stream(spark, tmp_root):
     # A second run with no new files adds nothing.
     landing_stream(spark, landing, target, ckpt).awaitTermination(120)
     assert IO.read_listings(spark, path=target).count() == 6
+
+
+def test_ingest_items_and_files(spark, tmp_root):
+    from pricelens.plans.pipeline import run_ingest_files, run_ingest_items
+
+    items = view(spark, SF_SMALL, "item_json").limit(50)
+    target = os.path.join(tmp_root, "raw")
+    out = run_ingest_items(spark, items, target, "2024-01-01 06:00:00", archive_root=os.path.join(tmp_root, "lake"),
+                           sample_path=os.path.join(tmp_root, "sample"))
+    assert spark.read.json(out["archived"]).count() == 50
+    assert spark.read.json(os.path.join(tmp_root, "sample")).count() == 10
+    p = os.path.join(tmp_root, "bb.json")
+    with open(p, "w") as f:
+        json.dump([{"product_name": "TV", "price": 10.0, "source": "bestbuy", "scraped_at": "2024-01-01T00:00:00+00:00"}], f)
+    run_ingest_files(spark, [p, os.path.join(tmp_root, "missing.json")], target)
+    df = IO.read_listings(spark, path=target)
+    assert df.count() == 51 and df.select("id").distinct().count() == 51
+    assert df.filter(F.col("source") == "ebay").select("scraped_at").distinct().count() == 1

@@ -57,7 +57,8 @@ def read_listings(spark: SparkSession, path: str | None = None, jdbc: dict | Non
     taken from `id_bounds` or from one min/max query.
     """
     if path is not None:
-        return spark.read.schema(S.RAW_LISTING).parquet(path)
+        # conform drops folder-partition columns (e.g. landing_batch=<id>).
+        return conform(spark.read.schema(S.RAW_LISTING).parquet(path), S.RAW_LISTING)
     if jdbc is None:
         raise ValueError("read_listings needs a path or jdbc options")
     if id_bounds is None:

@@ -3,8 +3,8 @@
 The batch loader reads a fixed list of JSON listing files. Here the same
 records are picked up incrementally from a landing folder: each new file is
 read once (file-source offsets in the checkpoint), converted exactly like
-`read_listing_json`, and appended to the listing table inside one
-`foreachBatch` write. With `availableNow` the query drains what has landed
+`read_listing_json`, and written to the listing table inside one
+`foreachBatch` write per micro-batch (idempotent on replay). With `availableNow` the query drains what has landed
 and stops, which fits a scheduled run; without it the query keeps running.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pricelens import schemas as S
-from pricelens.sources.listings import append_listings
+from pricelens.sources.listings import conform
 
 
 def _to_listing(df: DataFrame, tz: str) -> DataFrame:
@@ -33,6 +33,14 @@ def batch_row_id(batch_id: int) -> Column:
     return (F.lit(batch_id << 43) + F.shiftleft(part, 31) + row).cast("bigint")
 
 
+def write_landing_batch(batch: DataFrame, target: str, batch_id: int) -> None:
+    """Write one micro-batch into its own folder `landing_batch=<id>` with
+    overwrite: foreachBatch may replay a batch after a failure, and the
+    replay then rewrites the same rows instead of appending them twice."""
+    out = conform(batch.withColumn("id", batch_row_id(batch_id)), S.RAW_LISTING)
+    out.write.mode("overwrite").parquet(f"{target.rstrip('/')}/landing_batch={batch_id}")
+
+
 def landing_stream(spark: SparkSession, landing_dir: str, target: str, checkpoint: str,
                    available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the landing query. Ids pack (batch id, task partition, row in
@@ -46,7 +54,7 @@ def landing_stream(spark: SparkSession, landing_dir: str, target: str, checkpoin
     stream = _to_listing(reader.json(landing_dir), tz)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        append_listings(batch.withColumn("id", batch_row_id(batch_id)), target)
+        write_landing_batch(batch, target, batch_id)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

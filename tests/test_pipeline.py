@@ -55,6 +55,12 @@ def test_landing_stream(spark, tmp_root):
     # A second run with no new files adds nothing.
     landing_stream(spark, landing, target, ckpt).awaitTermination(120)
     assert IO.read_listings(spark, path=target).count() == 6
+    # A replayed micro-batch rewrites its own folder instead of appending.
+    from pricelens.streaming.landing import write_landing_batch
+    batch = spark.read.schema(S.LISTING_JSON).option("multiLine", True).json(os.path.join(landing, "f0.json"))
+    write_landing_batch(batch, target, 7)
+    write_landing_batch(batch, target, 7)
+    assert IO.read_listings(spark, path=target).count() == 8
 
 
 def test_ingest_items_and_files(spark, tmp_root):

@@ -91,8 +91,11 @@ PRICE_LINE_FORMAT = "  Price: ${:.2f}\n"
 
 # Rows a side may have before we stop broadcasting it.
 BROADCAST_MAX_ROWS = 2_000_000
-# Salt buckets used to spread one hot blocking key over many tasks.
+# Salt buckets used to spread one hot join key over many tasks.
 DEFAULT_SALT_BUCKETS = 16
+# Grid side for the name-pair band join: each (category, length band) block
+# is split into GRID x GRID cells; each side is replicated GRID times.
+DEFAULT_GRID = 8
 # Anomaly detection: look-back days, minimum observations, |z| threshold.
 ANOMALY_LOOKBACK_DAYS = 28
 ANOMALY_MIN_OBS = 8

@@ -6,10 +6,10 @@ excluding pairs already scored; ties broken by marketplace listing id.
 
 Plan (exact, no listing-by-listing pairs):
 1. distinct (category, name) per source - similarity depends on names only;
-2. name pairs by a band join on (category, length bucket, salt): only pairs
-   whose lengths can reach the threshold are formed (2*min/(la+lb) is an
-   upper bound of the score), and each hot category is spread over `salt`
-   tasks;
+2. name pairs by a band join on (category, length bucket, grid cell): only
+   pairs whose lengths can reach the threshold are formed (2*min/(la+lb) is
+   an upper bound of the score), and each hot category is spread over
+   grid x grid tasks;
 3. score the surviving name pairs (Arrow UDF or a native column), filter;
 4. keep the first K ids per marketplace name and the best K (name, id) per
    retailer name, K = k + the most exclusions any retailer listing has, so
@@ -45,13 +45,18 @@ def _bucket(length: Column) -> Column:
 
 
 def name_pairs(listings: DataFrame, min_sim: float = C.MIN_SIMILARITY,
-               salt_buckets: int = C.DEFAULT_SALT_BUCKETS) -> DataFrame:
+               grid: int = C.DEFAULT_GRID) -> DataFrame:
     """Distinct (category, retailer name, marketplace name) pairs whose
-    length bound reaches `min_sim` (bound 1/4 -> lengths within 7x)."""
-    if abs(min_sim - 0.25) > 1e-12:
-        ratio_max = (2 - min_sim) / min_sim  # longer/shorter allowed by the bound
-    else:
-        ratio_max = 7.0
+    length bound reaches `min_sim` (bound 1/4 -> lengths within 7x).
+
+    Band join: a marketplace name sits in one length bucket; a retailer name
+    is sent to every bucket its bound can reach. Each (category, bucket)
+    block is further cut into grid x grid cells (retailer names hashed to
+    rows, marketplace names to columns), so a hot category is spread over
+    grid^2 tasks while each side is copied only `grid` times. Every pair is
+    formed in exactly one cell.
+    """
+    ratio_max = (2 - min_sim) / min_sim  # longest/shortest length the bound allows
     lm = matchable(listings)
     # One distinct over (category, source, name); both sides read it, so the
     # exchange under it is computed once and reused.
@@ -60,18 +65,21 @@ def name_pairs(listings: DataFrame, min_sim: float = C.MIN_SIMILARITY,
                .select("category", F.col("product_name").alias("bestbuy_name"))
                .withColumn("la", name_len("bestbuy_name")))
     eb = (names.filter(F.col("source") == C.SOURCE_MARKETPLACE)
-               .select("category", F.col("product_name").alias("ebay_name"))
+               .select(F.col("category").alias("ecat"), F.col("product_name").alias("ebay_name"))
                .withColumn("lb", name_len("ebay_name")))
+    cells = F.explode(F.sequence(F.lit(0), F.lit(grid - 1)).cast("array<bigint>"))
     eb = (eb.withColumn("bucket", _bucket(F.col("lb")))
-            .withColumn("salt", F.pmod(F.xxhash64("ebay_name"), F.lit(salt_buckets)))
-            .withColumnRenamed("category", "ecat"))
+            .withColumn("gc", F.pmod(F.xxhash64("ebay_name"), F.lit(grid)))
+            .withColumn("gr", cells))
     lo = F.when(F.col("la") == 0, F.lit(-1)).otherwise(
         _bucket(F.greatest(F.lit(1), F.ceil(F.col("la") / F.lit(ratio_max)).cast("int"))))
     hi = F.when(F.col("la") == 0, F.lit(-1)).otherwise(
         _bucket(F.floor(F.col("la") * F.lit(ratio_max)).cast("int")))
     rb = (rb.withColumn("bucket", F.explode(F.sequence(lo, hi)))
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>"))))
-    j = rb.join(eb, on=[rb.category.eqNullSafe(eb.ecat), rb.bucket == eb.bucket, rb.salt == eb.salt])
+            .withColumn("gr", F.pmod(F.xxhash64("bestbuy_name"), F.lit(grid)))
+            .withColumn("gc", cells))
+    j = rb.join(eb, on=[rb.category.eqNullSafe(eb.ecat), rb.bucket == eb.bucket,
+                        rb.gr == eb.gr, rb.gc == eb.gc])
     bound = length_bound(F.col("la"), F.col("lb"))
     return (j.filter(bound >= F.lit(min_sim))
              .select(rb.category, "bestbuy_name", "ebay_name", bound.alias("length_bound")))
@@ -88,7 +96,7 @@ def max_exclusions(existing: DataFrame | None) -> int:
 
 def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int = C.MAX_CANDIDATES,
                min_sim: float = C.MIN_SIMILARITY, scorer: Scorer = difflib_similarity,
-               salt_buckets: int = C.DEFAULT_SALT_BUCKETS,
+               salt_buckets: int = C.DEFAULT_SALT_BUCKETS, grid: int = C.DEFAULT_GRID,
                broadcast_rows: int = C.BROADCAST_MAX_ROWS, max_pairs: int | None = None) -> DataFrame:
     """Top-`k` marketplace candidates per retailer listing (see module doc).
     With `max_pairs`, only the first pairs of the run order are returned
@@ -100,7 +108,7 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     lm = matchable(listings)
     K = k + max_exclusions(existing)
 
-    pairs = name_pairs(listings, min_sim, salt_buckets)
+    pairs = name_pairs(listings, min_sim, grid)
     # Repartition the name pairs before the score so a hot category's pairs
     # are spread evenly over tasks.
     scored = (pairs.repartition(F.xxhash64("bestbuy_name", "ebay_name"))

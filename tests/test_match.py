@@ -88,7 +88,7 @@ def test_cap_order(spark, small):
 
 def test_name_pairs_cover_all_qualifying(spark, small):
     raw, rows = small
-    got = {(r.category, r.bestbuy_name, r.ebay_name) for r in M.name_pairs(raw, salt_buckets=3).collect()}
+    got = {(r.category, r.bestbuy_name, r.ebay_name) for r in M.name_pairs(raw, grid=3).collect()}
     bn = {(r["category"], r["product_name"]) for r in rows if r["source"] == "bestbuy"}
     en = {(r["category"], r["product_name"]) for r in rows if r["source"] == "ebay"}
     for c, b in bn:

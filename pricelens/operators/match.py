@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from pricelens import constants as C
 from pricelens.functions.similarity import difflib_similarity, length_bound, name_len
-from pricelens.operators.joins import row_count_at_most, salted_join
-from pricelens.session import ensure_checkpoint_dir
+from pricelens.operators.joins import salted_join
+from pricelens.session import materialize
 
 Scorer = Callable[[Column, Column], Column]
 
@@ -141,11 +141,10 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     b = b.withColumn("_cn", F.col("bcat").isNull()).withColumn("_ck", F.coalesce("bcat", F.lit("")))
     nt = nt.withColumn("_cn", F.col("bcat").isNull()).withColumn("_ck", F.coalesce("bcat", F.lit(""))).drop("bcat")
     # Written once to the shared checkpoint folder: the scorer runs exactly
-    # once, the size check below reads the written rows, and the lineage of
-    # the expansion starts here (a lost executor does not re-score).
-    ensure_checkpoint_dir(nt.sparkSession)
-    nt = nt.checkpoint(eager=True)
-    if row_count_at_most(nt, broadcast_rows):
+    # once, the row count observed on the write is the size check, and the
+    # lineage of the expansion starts here (a lost executor does not re-score).
+    nt, nt_rows = materialize(nt, "match_name_top")
+    if nt_rows <= broadcast_rows:
         per_listing = b.join(F.broadcast(nt), on=["_cn", "_ck", "bname"])
     else:
         per_listing = salted_join(b, nt, on=["_cn", "_ck", "bname"], buckets=salt_buckets,

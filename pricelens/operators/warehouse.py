@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pricelens import constants as C
 from pricelens.functions import columns as X
 from pricelens.operators.joins import broadcast_if_small
-from pricelens.session import ensure_checkpoint_dir
+from pricelens.session import materialize
 
 
 def _opt(df: DataFrame, name: str, typ: str):
@@ -152,15 +152,16 @@ def fact_from_staging(stg: DataFrame, broadcast_rows: int = C.BROADCAST_MAX_ROWS
     only multiplication is dim_product's: a name listed under n distinct
     brands matches n rows (the fan-out the `unique` check reports), so each
     listing is repeated n times. The per-name n table (one row per distinct
-    name) is checkpointed, size-checked and broadcast; beyond the bound it is
-    joined by shuffle.
+    name) is written once to the checkpoint folder; the row count observed on
+    that write is the size check for broadcasting it; beyond the bound it is
+    joined by shuffle (AQE splits a hot product).
     """
     copies = (stg.select("product_name", "brand").distinct()
                  .filter(F.col("product_name").isNotNull())
                  .groupBy("product_name").agg(F.count(F.lit(1)).alias("_copies")))
-    ensure_checkpoint_dir(stg.sparkSession)
-    copies = copies.checkpoint(eager=True)
-    copies = broadcast_if_small(copies, broadcast_rows)
+    copies, n_names = materialize(copies, "fact_name_copies")
+    if n_names <= broadcast_rows:
+        copies = F.broadcast(copies)
     j = stg.join(copies, "product_name", "left")
     j = j.withColumn("_rep", F.explode(F.array_repeat(F.lit(0), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))))
     name, src, ts, cat = (F.col("product_name"), F.col("marketplace_source"), F.col("scraped_at"), F.col("category"))

@@ -69,3 +69,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/pricelens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write `df` once as a table under the shared checkpoint folder and read
+    it back: cuts the lineage (a lost executor re-reads the files instead of
+    recomputing) and returns the row count observed during the write, so a
+    size check costs no extra job. Returns (DataFrame, rows)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"materialize_{name}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])

@@ -52,3 +52,15 @@ def test_small_dims_broadcast_after_check(spark):
 def test_json_parsed_once(spark):
     o = optimized(Q["parse_marketplace_items"](spark, SF_SMALL))
     assert o.count("from_json") == 1
+
+
+def test_clean_job_scans_each_input_once(spark):
+    p = plan(Q["clean_contract"](spark, SF_SMALL))
+    scans = [l for l in p.split("\n") if "FileScan parquet" in l]
+    assert sum("lineitem.parquet" in l for l in scans) == 1
+    assert sum("part.parquet" in l for l in scans) == 1
+
+
+def test_fact_does_not_shuffle_listings(spark):
+    p = plan(Q["fact_price_snapshot"](spark, SF_SMALL))
+    assert "SortMergeJoin" not in p and "BroadcastHashJoin" in p

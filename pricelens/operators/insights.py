@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pricelens import constants as C
 from pricelens.functions import columns as X
-from pricelens.operators.joins import broadcast_if_small
+from pricelens.session import materialize
 
 MONEY = "decimal(18,2)"
 
@@ -135,11 +135,14 @@ def price_anomalies(df: DataFrame, lookback_days: int = C.ANOMALY_LOOKBACK_DAYS,
     return out.filter("is_anomaly") if flagged_only else out
 
 
-def watchlist(df: DataFrame, names: DataFrame, name_col: str = "product_name") -> DataFrame:
-    """Listings whose product name is on the watchlist (semi join; the list
-    is broadcast only when a row count proves it small)."""
-    wl = names.select(F.col(name_col).alias("product_name")).distinct()
-    return df.join(broadcast_if_small(wl), "product_name", "left_semi")
+def watchlist(df: DataFrame, names: DataFrame, name_col: str = "product_name",
+              broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
+    """Listings whose product name is on the watchlist (semi join). The
+    distinct list is written once to the checkpoint folder and broadcast only
+    when the row count observed on that write is within the bound; otherwise
+    a shuffle semi join (AQE splits a hot name)."""
+    wl, rows = materialize(names.select(F.col(name_col).alias("product_name")).distinct(), "watchlist")
+    return df.join(F.broadcast(wl) if rows <= broadcast_rows else wl, "product_name", "left_semi")
 
 
 def accepted_names(matches: DataFrame) -> DataFrame:

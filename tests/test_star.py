@@ -40,3 +40,13 @@ def test_fact_plans_agree_on_nulls(spark):
 def test_fact_shuffle_path_equals_broadcast_path(spark):
     stg = W.stg_listings(view(spark, SF_SMALL, "raw_listings"))
     assert _bag(W.fact_from_staging(stg)) == _bag(W.fact_from_staging(stg, broadcast_rows=0))
+
+
+def test_models_as_sql_views(spark):
+    from pricelens.plans.models import register_models
+
+    names = register_models(spark, view(spark, SF_SMALL, "star_listings"), view(spark, SF_SMALL, "matched_products"))
+    assert "fact_price_snapshot" in names and "stg_matched" in names
+    n = spark.sql("""select count(*) from fact_price_snapshot f join dim_product p on f.product_key = p.product_key
+                     join dim_source s on f.source_key = s.source_key""").first()[0]
+    assert n == view(spark, SF_SMALL, "star_listings").count()

@@ -93,9 +93,11 @@ PRICE_LINE_FORMAT = "  Price: ${:.2f}\n"
 BROADCAST_MAX_ROWS = 2_000_000
 # Salt buckets used to spread one hot join key over many tasks.
 DEFAULT_SALT_BUCKETS = 16
-# Grid side for the name-pair band join: each (category, length band) block
-# is split into GRID x GRID cells; each side is replicated GRID times.
-DEFAULT_GRID = 8
+# Name-pair band join: a category's block is split into g x g cells with
+# g = ceil(sqrt(retailer names * marketplace names / PAIRS_PER_CELL)),
+# capped at MAX_GRID; each side is replicated g times.
+PAIRS_PER_CELL = 500_000
+MAX_GRID = 512
 # Anomaly detection: look-back days, minimum observations, |z| threshold.
 ANOMALY_LOOKBACK_DAYS = 28
 ANOMALY_MIN_OBS = 8

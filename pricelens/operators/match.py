@@ -8,8 +8,8 @@ Plan (exact, no listing-by-listing pairs):
 1. distinct (category, name) per source - similarity depends on names only;
 2. name pairs by a band join on (category, length bucket, grid cell): only
    pairs whose lengths can reach the threshold are formed (2*min/(la+lb) is
-   an upper bound of the score), and each hot category is spread over
-   grid x grid tasks;
+   an upper bound of the score), and each category is spread over g x g
+   tasks with g sized from its name counts;
 3. score the surviving name pairs (Arrow UDF or a native column), filter;
 4. keep the first K ids per marketplace name and the best K (name, id) per
    retailer name, K = k + the most exclusions any retailer listing has, so
@@ -44,40 +44,58 @@ def _bucket(length: Column) -> Column:
     return F.when(length == 0, F.lit(-1)).otherwise(F.floor(F.log2(length)).cast("int"))
 
 
-def name_pairs(listings: DataFrame, min_sim: float = C.MIN_SIMILARITY,
-               grid: int = C.DEFAULT_GRID) -> DataFrame:
+def _grid_per_category(names: DataFrame, pairs_per_cell: int, max_grid: int,
+                       broadcast_rows: int) -> DataFrame:
+    """One row per category: the grid side g for its name-pair block."""
+    stats = names.groupBy("category").agg(
+        F.count_if(F.col("source") == C.SOURCE_RETAILER).alias("nb"),
+        F.count_if(F.col("source") == C.SOURCE_MARKETPLACE).alias("ne"))
+    g = F.ceil(F.sqrt(F.col("nb").cast("double") * F.col("ne").cast("double") / F.lit(float(pairs_per_cell))))
+    stats = stats.select(F.col("category").alias("gcat"),
+                         F.least(F.lit(max_grid), F.greatest(F.lit(1), g)).cast("int").alias("g"))
+    stats, rows = materialize(stats, "match_grid")
+    return F.broadcast(stats) if rows <= broadcast_rows else stats
+
+
+def name_pairs(listings: DataFrame, min_sim: float = C.MIN_SIMILARITY, grid: int | None = None,
+               pairs_per_cell: int = C.PAIRS_PER_CELL, max_grid: int = C.MAX_GRID,
+               broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
     """Distinct (category, retailer name, marketplace name) pairs whose
     length bound reaches `min_sim` (bound 1/4 -> lengths within 7x).
 
     Band join: a marketplace name sits in one length bucket; a retailer name
-    is sent to every bucket its bound can reach. Each (category, bucket)
-    block is further cut into grid x grid cells (retailer names hashed to
-    rows, marketplace names to columns), so a hot category is spread over
-    grid^2 tasks while each side is copied only `grid` times. Every pair is
-    formed in exactly one cell.
+    is sent to every bucket its bound can reach. Each category's block is cut
+    into g x g cells (retailer names hashed to rows, marketplace names to
+    columns), so a hot category is spread over g^2 tasks while each side is
+    copied only g times; every pair is formed in exactly one cell. g comes
+    from the category's name counts (`pairs_per_cell`), or is fixed by
+    `grid`. The distinct names are written once and read by both sides.
     """
     ratio_max = (2 - min_sim) / min_sim  # longest/shortest length the bound allows
     lm = matchable(listings)
-    # One distinct over (category, source, name); both sides read it, so the
-    # exchange under it is computed once and reused.
-    names = lm.select("category", "source", "product_name").distinct()
+    names, _ = materialize(lm.select("category", "source", "product_name").distinct(), "match_names")
+    if grid is None:
+        gt = _grid_per_category(names, pairs_per_cell, max_grid, broadcast_rows)
+        names = names.join(gt, names.category.eqNullSafe(gt.gcat)).drop("gcat")
+    else:
+        names = names.withColumn("g", F.lit(int(grid)))
     rb = (names.filter(F.col("source") == C.SOURCE_RETAILER)
-               .select("category", F.col("product_name").alias("bestbuy_name"))
+               .select("category", F.col("product_name").alias("bestbuy_name"), "g")
                .withColumn("la", name_len("bestbuy_name")))
     eb = (names.filter(F.col("source") == C.SOURCE_MARKETPLACE)
-               .select(F.col("category").alias("ecat"), F.col("product_name").alias("ebay_name"))
+               .select(F.col("category").alias("ecat"), F.col("product_name").alias("ebay_name"), "g")
                .withColumn("lb", name_len("ebay_name")))
-    cells = F.explode(F.sequence(F.lit(0), F.lit(grid - 1)).cast("array<bigint>"))
+    cells = F.explode(F.sequence(F.lit(0), F.col("g") - 1).cast("array<bigint>"))
     eb = (eb.withColumn("bucket", _bucket(F.col("lb")))
-            .withColumn("gc", F.pmod(F.xxhash64("ebay_name"), F.lit(grid)))
-            .withColumn("gr", cells))
+            .withColumn("gc", F.pmod(F.xxhash64("ebay_name"), F.col("g").cast("bigint")))
+            .withColumn("gr", cells).drop("g"))
     lo = F.when(F.col("la") == 0, F.lit(-1)).otherwise(
         _bucket(F.greatest(F.lit(1), F.ceil(F.col("la") / F.lit(ratio_max)).cast("int"))))
     hi = F.when(F.col("la") == 0, F.lit(-1)).otherwise(
         _bucket(F.floor(F.col("la") * F.lit(ratio_max)).cast("int")))
     rb = (rb.withColumn("bucket", F.explode(F.sequence(lo, hi)))
-            .withColumn("gr", F.pmod(F.xxhash64("bestbuy_name"), F.lit(grid)))
-            .withColumn("gc", cells))
+            .withColumn("gr", F.pmod(F.xxhash64("bestbuy_name"), F.col("g").cast("bigint")))
+            .withColumn("gc", cells).drop("g"))
     j = rb.join(eb, on=[rb.category.eqNullSafe(eb.ecat), rb.bucket == eb.bucket,
                         rb.gr == eb.gr, rb.gc == eb.gc])
     bound = length_bound(F.col("la"), F.col("lb"))
@@ -96,7 +114,7 @@ def max_exclusions(existing: DataFrame | None) -> int:
 
 def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int = C.MAX_CANDIDATES,
                min_sim: float = C.MIN_SIMILARITY, scorer: Scorer = difflib_similarity,
-               salt_buckets: int = C.DEFAULT_SALT_BUCKETS, grid: int = C.DEFAULT_GRID,
+               salt_buckets: int = C.DEFAULT_SALT_BUCKETS, grid: int | None = None,
                broadcast_rows: int = C.BROADCAST_MAX_ROWS, max_pairs: int | None = None) -> DataFrame:
     """Top-`k` marketplace candidates per retailer listing (see module doc).
     With `max_pairs`, only the first pairs of the run order are returned
@@ -108,7 +126,7 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     lm = matchable(listings)
     K = k + max_exclusions(existing)
 
-    pairs = name_pairs(listings, min_sim, grid)
+    pairs = name_pairs(listings, min_sim, grid, broadcast_rows=broadcast_rows)
     # Repartition the name pairs before the score so a hot category's pairs
     # are spread evenly over tasks.
     scored = (pairs.repartition(F.xxhash64("bestbuy_name", "ebay_name"))

@@ -106,3 +106,10 @@ def test_salted_expansion_equals_broadcast(spark, small):
     a = _spark_result(M.candidates(raw, ex))
     b = _spark_result(M.candidates(raw, ex, broadcast_rows=0, salt_buckets=5))
     assert a == b
+
+
+def test_adaptive_grid_equals_single_cell(spark, small):
+    raw, rows = small
+    one = {tuple(r) for r in M.name_pairs(raw, grid=1).collect()}
+    many = {tuple(r) for r in M.name_pairs(raw, pairs_per_cell=7).collect()}   # forces g > 1
+    assert one == many and len(one) > 0

@@ -135,7 +135,9 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
                    .drop("length_bound"))
 
     # First K ids per (category, marketplace name): partial WindowGroupLimit
-    # before the shuffle keeps a hot name cheap.
+    # before the shuffle keeps a hot name cheap. (Catalyst inserts it while K
+    # is within spark.sql.optimizer.windowGroupLimitThreshold, 1000 by
+    # default; K is 5 + the most stored pairs of one listing, 50 per run at most.)
     e = lm.filter(F.col("source") == C.SOURCE_MARKETPLACE).select(
         F.col("category").alias("ecat"), F.col("product_name").alias("ebay_name"),
         F.col("id").alias("ebay_listing_id"), F.col("price").alias("ebay_price"))

@@ -98,6 +98,10 @@ DEFAULT_SALT_BUCKETS = 16
 # capped at MAX_GRID; each side is replicated g times.
 PAIRS_PER_CELL = 500_000
 MAX_GRID = 512
+# Similarity scoring: name pairs per scoring task (CPU-bound Python; the
+# partition count is set from the pair estimate, not from bytes), cap.
+PAIRS_PER_SCORE_TASK = 20_000
+MAX_SCORE_TASKS = 200_000
 # Anomaly detection: look-back days, minimum observations, |z| threshold.
 ANOMALY_LOOKBACK_DAYS = 28
 ANOMALY_MIN_OBS = 8

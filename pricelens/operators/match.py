@@ -44,41 +44,36 @@ def _bucket(length: Column) -> Column:
     return F.when(length == 0, F.lit(-1)).otherwise(F.floor(F.log2(length)).cast("int"))
 
 
-def _grid_per_category(names: DataFrame, pairs_per_cell: int, max_grid: int,
-                       broadcast_rows: int) -> DataFrame:
-    """One row per category: the grid side g for its name-pair block."""
+def name_blocks(listings: DataFrame, grid: int | None = None, pairs_per_cell: int = C.PAIRS_PER_CELL,
+                max_grid: int = C.MAX_GRID, broadcast_rows: int = C.BROADCAST_MAX_ROWS):
+    """Distinct (category, source, name) rows of the two sources with the
+    grid side g of their category, and an upper bound of the name pairs to
+    score (sum over categories of retailer names x marketplace names).
+
+    The distinct names and the per-category stats (one row per category) are
+    written once; the stats are broadcast after the observed size check.
+    Returns (names DataFrame with column g, pair estimate).
+    """
+    lm = matchable(listings)
+    names, _ = materialize(lm.select("category", "source", "product_name").distinct(), "match_names")
     stats = names.groupBy("category").agg(
         F.count_if(F.col("source") == C.SOURCE_RETAILER).alias("nb"),
         F.count_if(F.col("source") == C.SOURCE_MARKETPLACE).alias("ne"))
-    g = F.ceil(F.sqrt(F.col("nb").cast("double") * F.col("ne").cast("double") / F.lit(float(pairs_per_cell))))
-    stats = stats.select(F.col("category").alias("gcat"),
-                         F.least(F.lit(max_grid), F.greatest(F.lit(1), g)).cast("int").alias("g"))
+    pairs = F.col("nb").cast("double") * F.col("ne").cast("double")
+    g = (F.lit(int(grid)) if grid is not None else
+         F.least(F.lit(max_grid), F.greatest(F.lit(1), F.ceil(F.sqrt(pairs / F.lit(float(pairs_per_cell)))))))
+    stats = stats.select(F.col("category").alias("gcat"), g.cast("int").alias("g"), pairs.alias("pairs"))
     stats, rows = materialize(stats, "match_grid")
-    return F.broadcast(stats) if rows <= broadcast_rows else stats
+    estimate = int(stats.agg(F.sum("pairs")).first()[0] or 0)
+    gt = F.broadcast(stats) if rows <= broadcast_rows else stats
+    names = names.join(gt, names.category.eqNullSafe(gt.gcat)).drop("gcat", "pairs")
+    return names, estimate
 
 
-def name_pairs(listings: DataFrame, min_sim: float = C.MIN_SIMILARITY, grid: int | None = None,
-               pairs_per_cell: int = C.PAIRS_PER_CELL, max_grid: int = C.MAX_GRID,
-               broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Distinct (category, retailer name, marketplace name) pairs whose
-    length bound reaches `min_sim` (bound 1/4 -> lengths within 7x).
-
-    Band join: a marketplace name sits in one length bucket; a retailer name
-    is sent to every bucket its bound can reach. Each category's block is cut
-    into g x g cells (retailer names hashed to rows, marketplace names to
-    columns), so a hot category is spread over g^2 tasks while each side is
-    copied only g times; every pair is formed in exactly one cell. g comes
-    from the category's name counts (`pairs_per_cell`), or is fixed by
-    `grid`. The distinct names are written once and read by both sides.
-    """
+def pairs_in_blocks(names: DataFrame, min_sim: float = C.MIN_SIMILARITY) -> DataFrame:
+    """Band join of the retailer and marketplace names of each block (see
+    `name_pairs`)."""
     ratio_max = (2 - min_sim) / min_sim  # longest/shortest length the bound allows
-    lm = matchable(listings)
-    names, _ = materialize(lm.select("category", "source", "product_name").distinct(), "match_names")
-    if grid is None:
-        gt = _grid_per_category(names, pairs_per_cell, max_grid, broadcast_rows)
-        names = names.join(gt, names.category.eqNullSafe(gt.gcat)).drop("gcat")
-    else:
-        names = names.withColumn("g", F.lit(int(grid)))
     rb = (names.filter(F.col("source") == C.SOURCE_RETAILER)
                .select("category", F.col("product_name").alias("bestbuy_name"), "g")
                .withColumn("la", name_len("bestbuy_name")))
@@ -103,6 +98,32 @@ def name_pairs(listings: DataFrame, min_sim: float = C.MIN_SIMILARITY, grid: int
              .select(rb.category, "bestbuy_name", "ebay_name", bound.alias("length_bound")))
 
 
+def name_pairs(listings: DataFrame, min_sim: float = C.MIN_SIMILARITY, grid: int | None = None,
+               pairs_per_cell: int = C.PAIRS_PER_CELL, max_grid: int = C.MAX_GRID,
+               broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
+    """Distinct (category, retailer name, marketplace name) pairs whose
+    length bound reaches `min_sim` (bound 1/4 -> lengths within 7x).
+
+    Band join: a marketplace name sits in one length bucket; a retailer name
+    is sent to every bucket its bound can reach. Each category's block is cut
+    into g x g cells (retailer names hashed to rows, marketplace names to
+    columns), so a hot category is spread over g^2 tasks while each side is
+    copied only g times; every pair is formed in exactly one cell. g comes
+    from the category's name counts (`pairs_per_cell`), or is fixed by
+    `grid`. The distinct names are written once and read by both sides.
+    """
+    names, _ = name_blocks(listings, grid, pairs_per_cell, max_grid, broadcast_rows)
+    return pairs_in_blocks(names, min_sim)
+
+
+def _score_tasks(spark, estimate: int) -> int:
+    try:
+        floor = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+        floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(floor, min(C.MAX_SCORE_TASKS, -(-estimate // C.PAIRS_PER_SCORE_TASK)))
+
+
 def max_exclusions(existing: DataFrame | None) -> int:
     """Largest number of stored pairs any retailer listing has (0 if none)."""
     if existing is None:
@@ -126,10 +147,14 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     lm = matchable(listings)
     K = k + max_exclusions(existing)
 
-    pairs = name_pairs(listings, min_sim, grid, broadcast_rows=broadcast_rows)
-    # Repartition the name pairs before the score so a hot category's pairs
-    # are spread evenly over tasks.
-    scored = (pairs.repartition(F.xxhash64("bestbuy_name", "ebay_name"))
+    names, estimate = name_blocks(listings, grid, broadcast_rows=broadcast_rows)
+    pairs = pairs_in_blocks(names, min_sim)
+    # Spread the name pairs evenly before the CPU-bound score. The task count
+    # comes from the pair estimate: an explicit count is not coalesced by
+    # AQE, whose byte-based sizing would put many small rows of heavy
+    # Python work into a few tasks.
+    n_tasks = _score_tasks(listings.sparkSession, estimate)
+    scored = (pairs.repartition(n_tasks, F.xxhash64("bestbuy_name", "ebay_name"))
                    .withColumn("similarity", scorer(F.col("bestbuy_name"), F.col("ebay_name")))
                    .filter(F.col("similarity") >= F.lit(min_sim))
                    .drop("length_bound"))

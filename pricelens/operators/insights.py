@@ -102,7 +102,7 @@ def price_history(df: DataFrame, as_of: str, days: int = 30, names: DataFrame |
 
 def price_anomalies(df: DataFrame, lookback_days: int = C.ANOMALY_LOOKBACK_DAYS,
                     min_obs: int = C.ANOMALY_MIN_OBS, z: float = C.ANOMALY_Z,
-                    flagged_only: bool = True) -> DataFrame:
+                    flagged_only: bool = True, broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
     """z-score of each snapshot's effective price against the same product
     and source over the `lookback_days` days before its day.
 
@@ -126,6 +126,12 @@ def price_anomalies(df: DataFrame, lookback_days: int = C.ANOMALY_LOOKBACK_DAYS,
            / (F.col("bn") * (F.col("bn") - 1)).cast("double"))
     base = base.select("product_name", "source", "day", F.col("bn").alias("baseline_n"),
                        mean.alias("baseline_mean"), F.sqrt(var).alias("baseline_std"))
+    # One row per (product, source, day) with a baseline: written once; when
+    # its observed size allows, it is broadcast and the listings are not
+    # shuffled; otherwise a shuffle join (AQE splits a hot day).
+    base, base_rows = materialize(base, "anomaly_baseline")
+    if base_rows <= broadcast_rows:
+        base = F.broadcast(base)
     j = e.join(base, ["product_name", "source", "day"], "inner")
     zs = F.when(F.col("baseline_std") > 0,
                 (F.col("effective_price") - F.col("baseline_mean")) / F.col("baseline_std"))

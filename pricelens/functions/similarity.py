@@ -17,9 +17,28 @@ def ratio(a: str, b: str) -> float:
 
 @F.pandas_udf(T.DoubleType())
 def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Arrow-batched ratio(a, b); NULL when either name is NULL."""
-    return pd.Series([ratio(x, y) if x is not None and y is not None else None
-                      for x, y in zip(a, b)], dtype="float64")
+    """Arrow-batched ratio(a, b); NULL when either name is NULL.
+
+    One SequenceMatcher per distinct second name in the batch: its index of
+    the second sequence (and the autojunk decision on it) is built once and
+    reused for every first name, which gives the same ratio as a fresh
+    matcher per pair.
+    """
+    from difflib import SequenceMatcher
+
+    matchers: dict[str, SequenceMatcher] = {}
+    out = []
+    for x, y in zip(a, b):
+        if x is None or y is None:
+            out.append(None)
+            continue
+        yl = y.lower()
+        sm = matchers.get(yl)
+        if sm is None:
+            sm = matchers[yl] = SequenceMatcher(None, "", yl)
+        sm.set_seq1(x.lower())
+        out.append(sm.ratio())
+    return pd.Series(out, dtype="float64")
 
 
 def name_len(name) -> Column:

@@ -154,7 +154,10 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     # AQE, whose byte-based sizing would put many small rows of heavy
     # Python work into a few tasks.
     n_tasks = _score_tasks(listings.sparkSession, estimate)
+    # Sorting by the marketplace name inside each task lets the scorer reuse
+    # its per-name index across consecutive rows.
     scored = (pairs.repartition(n_tasks, F.xxhash64("bestbuy_name", "ebay_name"))
+                   .sortWithinPartitions("ebay_name")
                    .withColumn("similarity", scorer(F.col("bestbuy_name"), F.col("ebay_name")))
                    .filter(F.col("similarity") >= F.lit(min_sim))
                    .drop("length_bound"))

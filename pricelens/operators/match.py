@@ -145,7 +145,13 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     ebay_listing_id, ebay_name, ebay_price, similarity, rank.
     """
     lm = matchable(listings)
-    K = k + max_exclusions(existing)
+    ex = None
+    if existing is not None:
+        # Stored pairs, written once: read for K and for the exclusion, which
+        # is a broadcast anti join when the observed count allows.
+        ex, ex_rows = materialize(existing.select("ebay_listing_id", "bestbuy_listing_id").distinct(),
+                                  "match_existing")
+    K = k + max_exclusions(ex)
 
     names, estimate = name_blocks(listings, grid, broadcast_rows=broadcast_rows)
     pairs = pairs_in_blocks(names, min_sim)
@@ -199,9 +205,9 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
                                   salt_from="bestbuy_listing_id")
     per_listing = per_listing.drop("_cn", "_ck")
 
-    if existing is not None:
-        ex = existing.select("ebay_listing_id", "bestbuy_listing_id").distinct()
-        per_listing = per_listing.join(ex, ["ebay_listing_id", "bestbuy_listing_id"], "left_anti")
+    if ex is not None:
+        per_listing = per_listing.join(F.broadcast(ex) if ex_rows <= broadcast_rows else ex,
+                                       ["ebay_listing_id", "bestbuy_listing_id"], "left_anti")
 
     wl = Window.partitionBy("bestbuy_listing_id").orderBy(F.col("similarity").desc(), F.col("ebay_listing_id"))
     top = (per_listing.withColumn("rank", F.row_number().over(wl)).filter(F.col("rank") <= k)

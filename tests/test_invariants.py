@@ -100,3 +100,42 @@ def test_item_rules_match_python(spark, items):
            for r in parse.parse_items(df).collect()}
     for i, it in enumerate(items):
         assert got[i] == _python_item(it), it
+
+
+def _python_verdict(v):
+    """Strict verdict rule in plain Python: None when invalid, else the row."""
+    if not isinstance(v, dict):
+        return None
+    m, c, r = v.get("is_match"), v.get("confidence"), v.get("reasoning")
+    if not isinstance(m, bool) or isinstance(c, bool) or not isinstance(c, (int, float)) or not 0 <= c <= 1:
+        return None
+    if not isinstance(r, str):
+        return None
+    return (m, float(c), v.get("canonical_name") or "Unknown", v.get("brand") or "Unknown", v.get("model_number"), r)
+
+
+_verdicts = st.one_of(
+    st.just([1, 2]), st.just("text"),
+    st.fixed_dictionaries({}, optional={
+        "is_match": st.sampled_from([True, False, None, 1, "yes"]),
+        "confidence": st.sampled_from([0, 1, 0.5, 0.99, 1.5, -0.1, None, True, "0.5"]),
+        "canonical_name": st.sampled_from(["N", "", None]),
+        "brand": st.sampled_from(["B", "", None]),
+        "model_number": st.sampled_from(["M1", None]),
+        "reasoning": st.sampled_from(["r", "", None])}))
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(_verdicts, min_size=1, max_size=10))
+def test_verdict_rules_match_python(spark, verdicts):
+    import json
+
+    from pricelens.operators.verdicts import validate_verdicts
+
+    df = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(verdicts)], "pair_id long, verdict string")
+    valid, rejected = validate_verdicts(df)
+    got = {r.pair_id: (r.is_match, r.confidence, r.canonical_name, r.brand, r.model_number, r.reasoning)
+           for r in valid.collect()}
+    want = {i: _python_verdict(v) for i, v in enumerate(verdicts) if _python_verdict(v) is not None}
+    assert got == want
+    assert rejected.count() == len(verdicts) - len(want)

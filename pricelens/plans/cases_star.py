@@ -85,6 +85,14 @@ def q_fact(spark, sf_dir):
     return W.build_star(view(spark, sf_dir, "star_listings"))["fact_price_snapshot"]
 
 
+@register("fact_star_joins", _star_sql("star_listings", "select * from fact"))
+def q_fact_joins(spark, sf_dir):
+    """The fact through the explicit four left joins (J1-J4) against dims
+    built from the same staging; same rows as `fact_price_snapshot`."""
+    stg = stg_of(spark, sf_dir)
+    return W.fact_price_snapshot(stg, W.dim_product(stg), W.dim_source(stg), W.dim_time(stg), W.dim_category(stg))
+
+
 @register("fact_fanout", _star_sql("raw_listings", """select l.product_name, d.dim_rows,
  count(distinct l.listing_id) as listings, count(*) as fact_rows
  from stg l join dim_product p on l.product_name = p.canonical_name

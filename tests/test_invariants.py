@@ -139,3 +139,16 @@ def test_verdict_rules_match_python(spark, verdicts):
     want = {i: _python_verdict(v) for i, v in enumerate(verdicts) if _python_verdict(v) is not None}
     assert got == want
     assert rejected.count() == len(verdicts) - len(want)
+
+
+def test_observed_counters_equal_aggregate_counters(spark, tmp_root):
+    import os
+
+    from pricelens.sources import listings as IO
+
+    raw = view(spark, SF_SMALL, "raw_listings")
+    out, (o_in, o_dd, o_out) = clean.clean_listings_observed(raw, name="t_obs")
+    IO.write_clean(out, os.path.join(tmp_root, "clean"), "2024-01-01")
+    agg = A.clean_counts(raw).first()
+    assert (o_in.get["input_rows"], o_dd.get["dedup_rows"], o_out.get["output_rows"]) == \
+        (agg.input_rows, agg.dedup_rows, agg.output_rows)

@@ -7,7 +7,6 @@ caller's session. `local_session()` is for tests, the bench and the CLI only.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,7 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster `spark.checkpoint.dir` points to shared storage and is used
-    as it is. Only when nothing is set (local tests) do we create one.
+    as it is. Only a local master (tests, one machine) gets a folder of our
+    own when nothing is set; any other master without the setting is an error,
+    because executors could not read each other's files.
     """
     try:
         sc = spark.sparkContext
@@ -57,7 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not conf_dir and sc is not None:
         conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="pricelens-ckpt-")
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = f"/tmp/checkpoints/pricelens-{uuid.uuid4().hex[:12]}"
     if sc is not None:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir

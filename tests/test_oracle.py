@@ -11,9 +11,11 @@ from tests.conftest import SF_SMALL
 
 import __spark_entry__ as E
 from pricelens.fixture import BASE_TABLES
+from pricelens.plans import registry
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+registry.load_all()
+QUERIES = registry.QUERIES
+ORACLE = registry.ORACLE
 
 
 def _norm(v):

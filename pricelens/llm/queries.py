@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import exact_dedup, sharding, topk
+from pricelens.llm import bpe, exact_dedup, sharding, token_store, topk
 from pricelens.llm.common import table
+from pricelens.session import scratch_path
+
+WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +69,21 @@ def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(docs, n_shards=8).select(
         "doc_id", F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"), F.lit("bytes").alias("law"),
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as shards with a perfect hash index and read back by key."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    store = token_store.write(docs, public_tokenizers.path(BYTE_VOCABULARY), scratch_path(spark, "tokens"))
+    return token_store.read(store, docs.select("doc_id").distinct()).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text decoded from them, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.encode(docs, public_tokenizers.path(WORD_VOCABULARY), decode=True, keep=["doc_id"])
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

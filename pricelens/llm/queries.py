@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import bpe, exact_dedup, sharding, token_store, topk
-from pricelens.llm.common import table
+from pricelens.llm import bpe, exact_dedup, langid, sharding, token_store, topk, toxicity
+from pricelens.llm.common import fold_of, table
 from pricelens.session import scratch_path
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -24,6 +24,19 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of held-out documents are not read."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    seen = fold_of("doc_id", 3) != 1
+    labels = table(spark, sf_dir, "labels").where(seen & F.col("toxic").isNotNull()).select("doc_id", "toxic")
+    prior = labels.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0]
+    positives = docs.join(labels.where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    model = toxicity.fit(positives, docs.where(seen), prior)
+    out = toxicity.score(docs.withColumn("held_out", fold_of("doc_id", 3) == 1), model, keep=["doc_id", "held_out"])
+    return out.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document of each group of equal texts stays."""
@@ -71,6 +84,14 @@ def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; held-out documents are not learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = langid.fit(docs.where(fold_of("doc_id", 4) != 2))
+    return langid.predict(docs.withColumn("held_out", fold_of("doc_id", 4) == 2), net, keep=["doc_id", "held_out"])
+
+
 @query
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as shards with a perfect hash index and read back by key."""

@@ -18,8 +18,8 @@ bounded: POSITIVES confirmed examples and UNLABELLED texts, drawn by a hash.
 Scoring finds the features with one automaton over each whole text.
 
 Defined results: a null or empty text has no features and gets the score of the
-intercept; without positive examples the score is 0 everywhere; a feature
-counts once per text however often it occurs; result columns replace columns
+intercept; without positive examples the score is 0 everywhere; occurrences
+of a feature beyond the third add nothing; result columns replace columns
 of the same names; labels, languages and sources are never read by `score`.
 """
 
@@ -44,6 +44,8 @@ UNLABELLED = 6000
 FEATURES = 2048
 LIFT = 3.0
 PREFIXES = (4, 5, 6)
+# Occurrences that are told apart: one, two, three or more.
+LEVELS = 3
 STEPS = 400
 
 
@@ -96,12 +98,21 @@ def automaton(features: tuple[str, ...]):
     return found
 
 
+def hits(features: tuple[str, ...], text: str) -> list[int]:
+    """Numbers of a text's features: feature k, then k + F where it occurs twice
+    and k + 2F where it occurs three times or more (F features)."""
+    n = len(features)
+    count: dict[int, int] = {}
+    for _, k in automaton(features).iter(text):
+        count[k] = count.get(k, 0) + 1
+    return [k + level * n for k, c in count.items() for level in range(min(c, LEVELS))]
+
+
 def _features_of(features: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = automaton(features).iter
         for b in batches:
-            hits = [sorted({i for _, i in find(t)}) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"positive": b.column(0), "hits": pa.array(hits, pa.list_(pa.int32()))})
+            found = [hits(features, t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"positive": b.column(0), "hits": pa.array(found, pa.list_(pa.int32()))})
     return run
 
 
@@ -155,19 +166,19 @@ def fit(positives: DataFrame, unlabelled: DataFrame, prior: float, id_col: str =
     features = tuple(choose_features(sample, sizes[1], sizes[0]))
     rows = sample.select("positive", "words").mapInArrow(_features_of(features), "positive int, hits array<int>").collect()
     split = [[np.array(r["hits"], dtype=np.int64) for r in rows if r["positive"] == k] for k in (1, 0)]
-    weights, intercept = fit_pu(*split, len(features), min(max(prior, 1e-4), 0.5))
+    weights, intercept = fit_pu(*split, LEVELS * len(features), min(max(prior, 1e-4), 0.5))
     return Toxicity(features, tuple(weights.tolist()), intercept)
 
 
 def _score(model: Toxicity, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, weights = automaton(model.features).iter, np.array([*model.weights, 0.0])
+        weights = np.array(model.weights)
         for b in batches:
             texts = b.column(b.schema.get_field_index("_words"))
             scores = []
             for i in range(len(texts)):
-                hits = {k for _, k in find(texts[i].as_py())}
-                scores.append(weights[list(hits)].sum() + model.intercept if hits else model.intercept)
+                found = hits(model.features, texts[i].as_py())
+                scores.append(weights[found].sum() + model.intercept if found else model.intercept)
             z = np.array(scores, dtype=np.float64)
             rest = {n: b.column(b.schema.get_field_index(n)) for n in names}
             yield pa.RecordBatch.from_pydict(rest | {"score": 0.5 * np.tanh(0.5 * z) + 0.5})

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import bpe, exact_dedup, langid, sharding, token_store, topk, toxicity
+from pricelens.llm import bpe, exact_dedup, langid, minhash, sharding, token_store, topk, toxicity
 from pricelens.llm.common import fold_of, table
 from pricelens.session import scratch_path
 
@@ -24,6 +24,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets reach a similarity of 0.85."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of held-out documents are not read."""

@@ -7,15 +7,16 @@
    probability (1 - bound ** ROWS) ** BANDS: 6e-11 at 0.85, 5e-8 at 0.8.
 3. The BITS low bits of all minima are kept, packed in bit planes. Equal
    positions are counted by bit operations, and the count corrected for chance
-   agreement estimates the similarity; candidates more than six standard
+   agreement estimates the similarity; candidates more than five standard
    deviations below the bound are dropped.
 4. What remains is confirmed on the full shingle sets.
 
 Groups of copies are not expanded into pairs. First every node of a bucket is
-compared with one node of the bucket (its least), which joins most of a group;
-then only nodes of one bucket that are still in different components are
-compared, large buckets in blocks that spread over tasks, each pair in the
-first band that it shares. So no link between different components is lost,
+compared with one node of the bucket (its least), then every node of a large
+bucket with the one of another component that the estimate puts nearest, which
+joins most of a group; then all nodes of one bucket that are still in different
+components are compared, large buckets in blocks that spread over tasks, each
+pair in the first band that it shares. So no link between different components is lost,
 and pairs inside a component are not formed.
 
 Defined results: only A-Z are lower-cased, words end at blanks of ASCII; a
@@ -38,11 +39,13 @@ from pyspark.sql import functions as F
 from pricelens.llm.common import written
 
 SHINGLE = 5
-HASHES = 256
+HASHES = 512
 BANDS, ROWS = 32, 4
 BITS = 4
 # Standard deviations of the estimate below the bound that still count as candidates.
-MARGIN = 6.0
+MARGIN = 5.0
+# Rounds in which nodes of large buckets are first compared with their nearest.
+NEAREST_ROUNDS = 2
 # Buckets up to this size are paired by a plain join, larger ones in blocks.
 SMALL_BUCKET = 16
 BLOCK = 512
@@ -240,50 +243,75 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 # -- candidates ------------------------------------------------------------
-def _cells(cut: int):
-    """Pairs of one cell of a large bucket: blocks i and j of its nodes."""
+def _cells(cut: int, nearest: bool):
+    """Pairs of one cell of a large bucket: blocks i and j of its nodes. All that
+    reach `cut`, or with `nearest` only the best partner of each node."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         band, i, j = key[1].as_py(), key[2].as_py(), key[3].as_py()
         node, comp, block = (rows.column(c).to_numpy() for c in ("node", "comp", "block"))
-        sig = np.array(rows.column("sig").to_pylist(), dtype=np.int64).reshape(len(node), -1).view(np.uint64)
-        bands = np.array(rows.column("bands").to_pylist(), dtype=np.int64).reshape(len(node), -1)
+        sig, bands = (rows.column(c).combine_chunks().flatten().to_numpy().reshape(len(node), -1) for c in ("sig", "bands"))
+        sig = sig.view(np.uint64)  # bits of a signed number would be counted in its absolute value
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        out = []
+        found = []
+        best = np.full((2, len(node)), -1)  # of each right node: estimate, left node
         for at in range(0, len(left), 128):
             part = left[at:at + 128]
-            hit = (_equal_matrix(sig[part], sig[right]) >= cut) & (comp[part][:, None] != comp[right][None, :])
-            x, y = np.nonzero(hit)
-            x, y = part[x], right[y]
+            equal = _equal_matrix(sig[part], sig[right])
+            equal[comp[part][:, None] == comp[right][None, :]] = -1
+            if nearest and len(right):
+                x = np.arange(len(part))
+                y = equal.argmax(axis=1)
+                up = equal.argmax(axis=0)
+                top = equal[up, np.arange(len(right))]
+                better = top > best[0, right]
+                best[:, right[better]] = np.stack([top[better], part[up[better]]])
+                ok = equal[x, y] >= cut
+                x, y = x[ok], y[ok]
+            else:
+                x, y = np.nonzero(equal >= cut)
+            found.append(np.stack([part[x], right[y]]))
+        if nearest:
+            ok = np.flatnonzero(best[0] >= cut)
+            found.append(np.stack([best[1, ok], ok]))
+        x, y = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
+        if nearest:
+            pairs = np.unique(np.sort(np.stack([node[x], node[y]]), axis=0), axis=1)
+        else:
+            once = (bands[x] == bands[y]).argmax(axis=1) == band  # each pair in the first band that it shares
             if i == j:
-                x, y = x[node[x] < node[y]], y[node[x] < node[y]]
-            first = (bands[x] == bands[y]).argmax(axis=1) == band  # each pair in the first band that it shares
-            x, y = node[x[first]], node[y[first]]
-            out.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
-        pairs = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+                once &= node[x] < node[y]
+            pairs = np.sort(np.stack([node[x[once]], node[y[once]]]), axis=0)
         return pa.table([pairs[0], pairs[1]], schema=schema)
     return run
 
 
-def _across(members: DataFrame, comps: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of nodes that share a bucket and are in different components."""
+def _mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with the bucket's size."""
     placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    mixed = written(placed.join(sizes.where("lo <> hi").select("key", "size"), "key").select("key", "band", "node", "comp", "size"), "nd_mixed")
+    return written(placed.join(sizes.where("lo <> hi").select("key", "size"), "key").select("key", "band", "node", "comp", "size"), "nd_mixed")
+
+
+def _large(mixed: DataFrame, nodes: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Candidate pairs across components in buckets of more than SMALL_BUCKET nodes."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = (mixed.where(F.col("size") > SMALL_BUCKET).join(nodes.select("node", "sig", "bands"), "node")
+            .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")))
+    return rows.select("key", "band", "i", "j", "node", "comp", "block", "sig", "bands").groupBy("key", "band", "i", "j").applyInArrow(
+        _cells(least_equal(percent), nearest), "a long, b long")
+
+
+def _small(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The same in buckets of at most SMALL_BUCKET nodes."""
     small = mixed.where(F.col("size") <= SMALL_BUCKET)
     pairs = (small.select("key", F.col("node").alias("a"), F.col("comp").alias("ca"))
              .join(small.select("key", F.col("node").alias("b"), F.col("comp").alias("cb")), "key")
              .where("a < b and ca <> cb").select("a", "b").distinct())
-    pairs = estimated(pairs, nodes, percent)
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    large = (mixed.where(F.col("size") > SMALL_BUCKET).join(nodes.select("node", "sig", "bands"), "node")
-             .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")))
-    found = large.select("key", "band", "i", "j", "node", "comp", "block", "sig", "bands").groupBy("key", "band", "i", "j").applyInArrow(
-        _cells(least_equal(percent)), "a long, b long")
-    return pairs.unionByName(found).distinct()
+    return estimated(pairs, nodes, percent)
 
 
 def near_duplicates(df: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -304,10 +332,20 @@ def near_duplicates(df: DataFrame, percent: int = 80, id_col: str = "doc_id", te
 
     stars = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     tried = written(estimated(stars, nodes, percent), "nd_stars")
-    links = written(confirmed(tried, sets, percent), "nd_star_links")
-    across = _across(members, components(links), nodes, percent)
-    more = written(confirmed(across.join(tried, ["a", "b"], "left_anti"), sets, percent), "nd_links")
-    comps = components(links.unionByName(more))
+    links = written(confirmed(tried, sets, percent), "nd_links")
+
+    def confirm(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        fresh = written(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "nd_pairs")
+        return tried.unionByName(fresh), links.unionByName(written(confirmed(fresh, sets, percent), "nd_links"))
+
+    mixed = _mixed(members, components(links))
+    for _ in range(NEAREST_ROUNDS):
+        if not mixed.where(F.col("size") > SMALL_BUCKET).limit(1).count():
+            break
+        tried, links = confirm(_large(mixed, nodes, percent, nearest=True))
+        mixed = _mixed(members, components(links))
+    tried, links = confirm(_small(mixed, nodes, percent).unionByName(_large(mixed, nodes, percent, nearest=False)))
+    comps = components(links)
 
     named = nodes.select("node", "label").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = written(named.join(named.groupBy("comp").agg(F.min("label").alias("component")), "comp").select("node", "component"), "nd_components")

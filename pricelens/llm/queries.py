@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import bpe, exact_dedup, langid, minhash, sharding, token_store, topk, toxicity
+from pricelens.llm import bpe, exact_dedup, langid, minhash, mixing, sharding, token_store, topk, toxicity
 from pricelens.llm.common import fold_of, table
 from pricelens.session import scratch_path
 
@@ -81,6 +81,26 @@ select query_id, cast(rank as integer) as rank, vec_id, score from r where rank
 """
 
 
+def quality_domains(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """The labelled table of the mixing: a document's language and quality label name its domain."""
+    labels = table(spark, sf_dir, "labels").where("quality is not null").select("doc_id", "quality")
+    named = docs.where("lang is not null").select("doc_id", "lang").join(labels, "doc_id")
+    return named.select("doc_id", F.concat("lang", F.lit("/q"), F.col("quality").cast("string")).alias("domain"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents whose expected tokens per domain match tempered targets."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    mix, rates = mixing.fit(docs, quality_domains(spark, sf_dir, docs))
+    if mix is None:
+        return rates.select("doc_id", F.col("tokens").alias("n_tokens"), F.lit(1.0).alias("rate"))
+    domains = mix.classifier.domains
+    return rates.select("doc_id", F.col("tokens").alias("n_tokens"),
+                        F.map_from_arrays(F.array(*map(F.lit, domains)), F.array(*[f"p{i}" for i in range(len(domains))])).alias("posterior"),
+                        "rate")
+
+
 @query
 def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards of near-equal bytes, with their slots."""

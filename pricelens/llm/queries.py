@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import bpe, exact_dedup, langid, minhash, mixing, sharding, token_store, topk, toxicity
+from pricelens.llm import bpe, exact_dedup, langid, line_dedup, minhash, mixing, sharding, token_store, topk, toxicity
 from pricelens.llm.common import fold_of, table
 from pricelens.session import scratch_path
 
@@ -60,6 +60,46 @@ from d window w as (partition by text_sha256 order by len desc, doc_id nulls las
 """
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that are not blank, how many stay, and a digest of the places that stay."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = line_dedup.decisions(docs)
+    kept = F.array_sort(F.collect_list(F.when(F.col("kept"), F.struct("pos", "line"))))
+    counts = lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("kept").alias("kept_lines"),
+                                         F.sha2(F.array_join(F.transform(kept, lambda x: x["line"]), "\n"), 256).alias("kept_sha256"))
+    return docs.select("doc_id").distinct().join(counts, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
+        F.coalesce("kept_lines", F.lit(0).cast("long")).alias("kept_lines"), F.coalesce("kept_sha256", F.sha2(F.lit(""), 256)).alias("kept_sha256"))
+
+
+ORACLE["op6_line_dedup"] = r"""
+with s as (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null),
+l as (
+ select * from (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as pos from s)
+ where regexp_matches(line, '[^\x20\x09-\x0D]')),
+f as (select line, min(row(doc_id, pos)) as first, length(line) as n from l group by line),
+e as (
+ select distinct line, first, n, h, side, case side when 'f' then left(line, h) else right(line, h) end as part
+ from (select line, first, n, unnest([n // 2, (n - 1) // 2]) as h from f where n >= 20), (values ('f'), ('l')) v(side)),
+p as (
+ select distinct a.line, a.first as af, b.first as bf, case when a.n <= b.n then a.line else b.line end as x,
+  case when a.n <= b.n then b.line else a.line end as y
+ from e a join e b on a.h = b.h and a.side = b.side and a.part = b.part where a.line <> b.line and a.first > b.first and abs(a.n - b.n) <= 1),
+near as (
+ select distinct line from p where len(list_filter(range(0, length(x) + 1), lambda i: left(x, i) = left(y, i)
+  and (substr(x, i + 1) = substr(y, i + 2) and length(x) < length(y) or substr(x, i + 2) = substr(y, i + 2) and length(x) = length(y)))) > 0),
+k as (
+ select l.doc_id, l.pos, l.line, row(l.doc_id, l.pos) = f.first and near.line is null as kept
+ from l join f using (line) left join near using (line)),
+c as (
+ select doc_id, count(*) as n_lines, count(*) filter (kept) as kept_lines,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (kept), '')) as kept_sha256 from k group by doc_id)
+select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(kept_lines, 0) as kept_lines, coalesce(kept_sha256, sha256('')) as kept_sha256
+from (select distinct doc_id from documents) d left join c using (doc_id)
+"""
+
+
 @query
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best candidates of every query vector (ids divisible by 100) by integer inner product."""
@@ -134,3 +174,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode(docs, public_tokenizers.path(WORD_VOCABULARY), decode=True, keep=["doc_id"])
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -276,13 +276,12 @@ def _cells(cut: int, nearest: bool):
             ok = np.flatnonzero(best[0] >= cut)
             found.append(np.stack([best[1, ok], ok]))
         x, y = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
+        once = (bands[x] == bands[y]).argmax(axis=1) == band  # each pair in the first band that it shares
+        if i == j and not nearest:
+            once &= node[x] < node[y]
+        pairs = np.sort(np.stack([node[x[once]], node[y[once]]]), axis=0)
         if nearest:
-            pairs = np.unique(np.sort(np.stack([node[x], node[y]]), axis=0), axis=1)
-        else:
-            once = (bands[x] == bands[y]).argmax(axis=1) == band  # each pair in the first band that it shares
-            if i == j:
-                once &= node[x] < node[y]
-            pairs = np.sort(np.stack([node[x[once]], node[y[once]]]), axis=0)
+            pairs = np.unique(pairs, axis=1)
         return pa.table([pairs[0], pairs[1]], schema=schema)
     return run
 

@@ -188,5 +188,7 @@ def apply(df: DataFrame, mixing: Mixing | None, id_col: str = "doc_id", text_col
 
 def mixture(df: DataFrame, mixing: Mixing | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `df`, each as often as its `copies` say, with the columns of `df`."""
-    out = apply(df, mixing, id_col, text_col).where("copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*df.columns)
+    out = apply(df, mixing, id_col, text_col)
+    # Not `copies > 0`: that filter would be pushed below, and repeat there all that `copies` is made of.
+    copy = F.explode_outer(F.array_repeat(F.lit(True), F.col("copies")))
+    return out.withColumn("_copy", copy).where("_copy").select(*df.columns)

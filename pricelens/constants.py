@@ -83,25 +83,20 @@ PROMPT_TEMPLATE = (
     "Determine if these are the same physical product. "
     "Respond with JSON only."
 )
-PRICE_LINE_FORMAT = "  Price: ${:.2f}\n"
 
 # ---------------------------------------------------------------------------
 # Our own defaults (not fixed by the reproduced behaviour)
 # ---------------------------------------------------------------------------
 
-# Rows a side may have before we stop broadcasting it.
-BROADCAST_MAX_ROWS = 2_000_000
 # Salt buckets used to spread one hot join key over many tasks.
 DEFAULT_SALT_BUCKETS = 16
 # Name-pair band join: a category's block is split into g x g cells with
-# g = ceil(sqrt(retailer names * marketplace names / PAIRS_PER_CELL)),
-# capped at MAX_GRID; each side is replicated g times.
+# g = ceil(sqrt(retailer names * marketplace names / PAIRS_PER_CELL));
+# each side is replicated g times.
 PAIRS_PER_CELL = 500_000
-MAX_GRID = 512
 # Similarity scoring: name pairs per scoring task (CPU-bound Python; the
-# partition count is set from the pair estimate, not from bytes), cap.
+# partition count is set from the pair estimate, not from bytes).
 PAIRS_PER_SCORE_TASK = 20_000
-MAX_SCORE_TASKS = 200_000
 # Anomaly detection: look-back days, minimum observations, |z| threshold.
 ANOMALY_LOOKBACK_DAYS = 28
 ANOMALY_MIN_OBS = 8

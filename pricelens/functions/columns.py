@@ -89,7 +89,7 @@ def brand_from_title(title="title", upper_title=None) -> Column:
     t = _col(title)
     up = F.upper(t) if upper_title is None else _col(upper_title)
     hits = [F.when(up.contains(b.upper()), F.lit(b)) for b in C.KNOWN_BRANDS]
-    first_token = F.nullif(F.regexp_extract(t, r"^\s*(\S+)", 1), F.lit(""))
+    first_token = F.nullif(F.regexp_extract(t, r"(?U)^\s*(\S+)", 1), F.lit(""))
     return F.coalesce(*hits, first_token, F.lit(C.UNKNOWN_TITLE_BRAND))
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from pricelens import constants as C
 from pricelens.functions import columns as X
-from pricelens.session import materialize
 
 MONEY = "decimal(18,2)"
 
@@ -102,14 +101,15 @@ def price_history(df: DataFrame, as_of: str, days: int = 30, names: DataFrame |
 
 def price_anomalies(df: DataFrame, lookback_days: int = C.ANOMALY_LOOKBACK_DAYS,
                     min_obs: int = C.ANOMALY_MIN_OBS, z: float = C.ANOMALY_Z,
-                    flagged_only: bool = True, broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
+                    flagged_only: bool = True) -> DataFrame:
     """z-score of each snapshot's effective price against the same product
     and source over the `lookback_days` days before its day.
 
     Re-aimed: a statistical baseline, not the isolation forest the feature
     was announced with. Baseline = exact count / sum / sum of squares per
     day, summed over a day-range window; std is the sample std; z is NULL
-    with fewer than `min_obs` observations or zero spread.
+    with fewer than `min_obs` observations or zero spread. Every snapshot is
+    returned; without enough observations its baseline columns are NULL too.
     """
     e = _eff(df).withColumn("day", F.to_date("scraped_at"))
     p = F.col("effective_price").cast(MONEY)
@@ -126,13 +126,9 @@ def price_anomalies(df: DataFrame, lookback_days: int = C.ANOMALY_LOOKBACK_DAYS,
            / (F.col("bn") * (F.col("bn") - 1)).cast("double"))
     base = base.select("product_name", "source", "day", F.col("bn").alias("baseline_n"),
                        mean.alias("baseline_mean"), F.sqrt(var).alias("baseline_std"))
-    # One row per (product, source, day) with a baseline: written once; when
-    # its observed size allows, it is broadcast and the listings are not
-    # shuffled; otherwise a shuffle join (AQE splits a hot day).
-    base, base_rows = materialize(base, "anomaly_baseline")
-    if base_rows <= broadcast_rows:
-        base = F.broadcast(base)
-    j = e.join(base, ["product_name", "source", "day"], "inner")
+    # One row per (product, source, day) with a baseline, all from aggregates;
+    # AQE broadcasts it when its measured bytes allow and splits a hot day otherwise.
+    j = e.join(base, ["product_name", "source", "day"], "left")
     zs = F.when(F.col("baseline_std") > 0,
                 (F.col("effective_price") - F.col("baseline_mean")) / F.col("baseline_std"))
     out = j.select("id", "product_name", "source", "scraped_at", "effective_price", "baseline_n",
@@ -141,14 +137,11 @@ def price_anomalies(df: DataFrame, lookback_days: int = C.ANOMALY_LOOKBACK_DAYS,
     return out.filter("is_anomaly") if flagged_only else out
 
 
-def watchlist(df: DataFrame, names: DataFrame, name_col: str = "product_name",
-              broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Listings whose product name is on the watchlist (semi join). The
-    distinct list is written once to the checkpoint folder and broadcast only
-    when the row count observed on that write is within the bound; otherwise
-    a shuffle semi join (AQE splits a hot name)."""
-    wl, rows = materialize(names.select(F.col(name_col).alias("product_name")).distinct(), "watchlist")
-    return df.join(F.broadcast(wl) if rows <= broadcast_rows else wl, "product_name", "left_semi")
+def watchlist(df: DataFrame, names: DataFrame, name_col: str = "product_name") -> DataFrame:
+    """Listings whose product name is on the watchlist (semi join; AQE
+    broadcasts the distinct list by its measured bytes or splits a hot name)."""
+    wl = names.select(F.col(name_col).alias("product_name")).distinct()
+    return df.join(wl, "product_name", "left_semi")
 
 
 def accepted_names(matches: DataFrame) -> DataFrame:

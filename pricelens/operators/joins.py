@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and salted joins for hot keys."""
+"""Join helper: a salted join for hot keys."""
 
 from __future__ import annotations
 
@@ -8,17 +8,6 @@ from pyspark.sql import functions as F
 from pricelens import constants as C
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when `df` has at most `max_rows` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise leave the
-    join to the shuffle strategies (AQE may still convert it at runtime)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                 buckets: int = C.DEFAULT_SALT_BUCKETS, salt_from: str | None = None) -> DataFrame:
     """Equi-join that spreads every key of `big` over `buckets` tasks.

@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from pricelens import constants as C
 from pricelens.functions.similarity import difflib_similarity, length_bound, name_len
-from pricelens.operators.joins import salted_join
 from pricelens.session import materialize
 
 Scorer = Callable[[Column, Column], Column]
@@ -44,14 +43,13 @@ def _bucket(length: Column) -> Column:
     return F.when(length == 0, F.lit(-1)).otherwise(F.floor(F.log2(length)).cast("int"))
 
 
-def name_blocks(listings: DataFrame, grid: int | None = None, pairs_per_cell: int = C.PAIRS_PER_CELL,
-                max_grid: int = C.MAX_GRID, broadcast_rows: int = C.BROADCAST_MAX_ROWS):
+def name_blocks(listings: DataFrame, grid: int | None = None, pairs_per_cell: int = C.PAIRS_PER_CELL):
     """Distinct (category, source, name) rows of the two sources with the
     grid side g of their category, and an upper bound of the name pairs to
     score (sum over categories of retailer names x marketplace names).
 
     The distinct names and the per-category stats (one row per category) are
-    written once; the stats are broadcast after the observed size check.
+    written once; joins with the stats are planned by their file size.
     Returns (names DataFrame with column g, pair estimate).
     """
     lm = matchable(listings)
@@ -61,12 +59,11 @@ def name_blocks(listings: DataFrame, grid: int | None = None, pairs_per_cell: in
         F.count_if(F.col("source") == C.SOURCE_MARKETPLACE).alias("ne"))
     pairs = F.col("nb").cast("double") * F.col("ne").cast("double")
     g = (F.lit(int(grid)) if grid is not None else
-         F.least(F.lit(max_grid), F.greatest(F.lit(1), F.ceil(F.sqrt(pairs / F.lit(float(pairs_per_cell)))))))
+         F.greatest(F.lit(1), F.ceil(F.sqrt(pairs / F.lit(float(pairs_per_cell))))))
     stats = stats.select(F.col("category").alias("gcat"), g.cast("int").alias("g"), pairs.alias("pairs"))
-    stats, rows = materialize(stats, "match_grid")
+    stats, _ = materialize(stats, "match_grid")
     estimate = int(stats.agg(F.sum("pairs")).first()[0] or 0)
-    gt = F.broadcast(stats) if rows <= broadcast_rows else stats
-    names = names.join(gt, names.category.eqNullSafe(gt.gcat)).drop("gcat", "pairs")
+    names = names.join(stats, names.category.eqNullSafe(stats.gcat)).drop("gcat", "pairs")
     return names, estimate
 
 
@@ -99,8 +96,7 @@ def pairs_in_blocks(names: DataFrame, min_sim: float = C.MIN_SIMILARITY) -> Data
 
 
 def name_pairs(listings: DataFrame, min_sim: float = C.MIN_SIMILARITY, grid: int | None = None,
-               pairs_per_cell: int = C.PAIRS_PER_CELL, max_grid: int = C.MAX_GRID,
-               broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
+               pairs_per_cell: int = C.PAIRS_PER_CELL) -> DataFrame:
     """Distinct (category, retailer name, marketplace name) pairs whose
     length bound reaches `min_sim` (bound 1/4 -> lengths within 7x).
 
@@ -112,7 +108,7 @@ def name_pairs(listings: DataFrame, min_sim: float = C.MIN_SIMILARITY, grid: int
     from the category's name counts (`pairs_per_cell`), or is fixed by
     `grid`. The distinct names are written once and read by both sides.
     """
-    names, _ = name_blocks(listings, grid, pairs_per_cell, max_grid, broadcast_rows)
+    names, _ = name_blocks(listings, grid, pairs_per_cell)
     return pairs_in_blocks(names, min_sim)
 
 
@@ -121,7 +117,7 @@ def _score_tasks(spark, estimate: int) -> int:
         floor = spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
         floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(floor, min(C.MAX_SCORE_TASKS, -(-estimate // C.PAIRS_PER_SCORE_TASK)))
+    return max(floor, -(-estimate // C.PAIRS_PER_SCORE_TASK))
 
 
 def max_exclusions(existing: DataFrame | None) -> int:
@@ -135,8 +131,7 @@ def max_exclusions(existing: DataFrame | None) -> int:
 
 def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int = C.MAX_CANDIDATES,
                min_sim: float = C.MIN_SIMILARITY, scorer: Scorer = difflib_similarity,
-               salt_buckets: int = C.DEFAULT_SALT_BUCKETS, grid: int | None = None,
-               broadcast_rows: int = C.BROADCAST_MAX_ROWS, max_pairs: int | None = None) -> DataFrame:
+               grid: int | None = None, max_pairs: int | None = None) -> DataFrame:
     """Top-`k` marketplace candidates per retailer listing (see module doc).
     With `max_pairs`, only the first pairs of the run order are returned
     (`cap_pairs`).
@@ -147,13 +142,12 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     lm = matchable(listings)
     ex = None
     if existing is not None:
-        # Stored pairs, written once: read for K and for the exclusion, which
-        # is a broadcast anti join when the observed count allows.
-        ex, ex_rows = materialize(existing.select("ebay_listing_id", "bestbuy_listing_id").distinct(),
+        # Stored pairs, written once: read for K and for the exclusion.
+        ex, _ = materialize(existing.select("ebay_listing_id", "bestbuy_listing_id").distinct(),
                                   "match_existing")
     K = k + max_exclusions(ex)
 
-    names, estimate = name_blocks(listings, grid, broadcast_rows=broadcast_rows)
+    names, estimate = name_blocks(listings, grid)
     pairs = pairs_in_blocks(names, min_sim)
     # Spread the name pairs evenly before the CPU-bound score. The task count
     # comes from the pair estimate: an explicit count is not coalesced by
@@ -185,8 +179,8 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     name_top = cand.withColumn("_r", F.row_number().over(wb)).filter(F.col("_r") <= K).drop("_r")
 
     # Expand to retailer listings. The per-name candidate list has at most
-    # K rows per distinct retailer name: broadcast it when a row count proves
-    # it small, else salt the listing side so a hot name is split.
+    # K rows per distinct retailer name: a written table, broadcast when its
+    # bytes are within Spark's threshold; in a shuffle join AQE splits a hot name.
     b = lm.filter(F.col("source") == C.SOURCE_RETAILER).select(
         F.col("category").alias("bcat"), F.col("product_name").alias("bname"),
         F.col("id").alias("bestbuy_listing_id"), F.col("price").alias("bestbuy_price"))
@@ -195,19 +189,13 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     b = b.withColumn("_cn", F.col("bcat").isNull()).withColumn("_ck", F.coalesce("bcat", F.lit("")))
     nt = nt.withColumn("_cn", F.col("bcat").isNull()).withColumn("_ck", F.coalesce("bcat", F.lit(""))).drop("bcat")
     # Written once to the shared checkpoint folder: the scorer runs exactly
-    # once, the row count observed on the write is the size check, and the
-    # lineage of the expansion starts here (a lost executor does not re-score).
-    nt, nt_rows = materialize(nt, "match_name_top")
-    if nt_rows <= broadcast_rows:
-        per_listing = b.join(F.broadcast(nt), on=["_cn", "_ck", "bname"])
-    else:
-        per_listing = salted_join(b, nt, on=["_cn", "_ck", "bname"], buckets=salt_buckets,
-                                  salt_from="bestbuy_listing_id")
-    per_listing = per_listing.drop("_cn", "_ck")
+    # once, and the lineage of the expansion starts here (a lost executor does
+    # not re-score).
+    nt, _ = materialize(nt, "match_name_top")
+    per_listing = b.join(nt, on=["_cn", "_ck", "bname"]).drop("_cn", "_ck")
 
     if ex is not None:
-        per_listing = per_listing.join(F.broadcast(ex) if ex_rows <= broadcast_rows else ex,
-                                       ["ebay_listing_id", "bestbuy_listing_id"], "left_anti")
+        per_listing = per_listing.join(ex, ["ebay_listing_id", "bestbuy_listing_id"], "left_anti")
 
     wl = Window.partitionBy("bestbuy_listing_id").orderBy(F.col("similarity").desc(), F.col("ebay_listing_id"))
     top = (per_listing.withColumn("rank", F.row_number().over(wl)).filter(F.col("rank") <= k)

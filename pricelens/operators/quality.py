@@ -24,8 +24,10 @@ def check_unique(df: DataFrame, col: str, table: str = "") -> DataFrame:
 def check_not_null(df: DataFrame, cols: list[str], table: str = "") -> DataFrame:
     """NULL counts for all `cols` in one pass over `df`."""
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
-    return reduce(DataFrame.unionByName,
-                  [_result(agg, "not_null", table, c, F.col(f"n{i}")) for i, c in enumerate(cols)])
+    rows = F.array(*[F.struct(F.lit("not_null").alias("check_name"), F.lit(table).alias("table_name"),
+                              F.lit(c).alias("column_name"), F.col(f"n{i}").cast("bigint").alias("failures"))
+                     for i, c in enumerate(cols)])
+    return agg.select(F.inline(rows))
 
 
 def check_reference(child: DataFrame, col: str, parent: DataFrame, key: str,

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pricelens import constants as C
 from pricelens.functions import columns as X
-from pricelens.operators.joins import broadcast_if_small
 from pricelens.session import materialize
 
 
@@ -105,21 +104,15 @@ def dim_category(stg: DataFrame) -> DataFrame:
 
 
 def fact_price_snapshot(stg: DataFrame, p: DataFrame, s: DataFrame, t: DataFrame,
-                        c: DataFrame, dims_materialized: bool = False,
-                        broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
+                        c: DataFrame) -> DataFrame:
     """Listings left-joined to the four dimensions.
 
-    With `dims_materialized` (the dims are written tables, as in the
-    pipeline) dim_source / dim_category are broadcast after a cheap row-count
-    check of those tables. Otherwise no hint is given: counting a lazily
-    built dim would rescan the listings, so AQE makes the call at runtime
-    from the measured shuffle size. dim_product / dim_time grow with the data
+    No hints: a small written dim is broadcast by its file size, any other by
+    AQE from its measured bytes. dim_product / dim_time grow with the data
     and go to shuffle joins, which AQE may convert to broadcasts or split
     when a hot product skews a partition.
     """
     l = stg.alias("l")
-    if dims_materialized:
-        s, c = broadcast_if_small(s, broadcast_rows), broadcast_if_small(c, broadcast_rows)
     s_, c_ = s.alias("s"), c.alias("c")
     j = (l.join(p.alias("p"), F.col("l.product_name") == F.col("p.canonical_name"), "left")
           .join(s_, F.col("l.marketplace_source") == F.col("s.marketplace_name"), "left")
@@ -142,7 +135,7 @@ def _fact_columns(product_key, source_key, time_key, category_key, price, on_sal
     ]
 
 
-def fact_from_staging(stg: DataFrame, broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
+def fact_from_staging(stg: DataFrame) -> DataFrame:
     """The fact when the four dims are built from this same `stg`, without
     shuffling the listings.
 
@@ -152,16 +145,14 @@ def fact_from_staging(stg: DataFrame, broadcast_rows: int = C.BROADCAST_MAX_ROWS
     only multiplication is dim_product's: a name listed under n distinct
     brands matches n rows (the fan-out the `unique` check reports), so each
     listing is repeated n times. The per-name n table (one row per distinct
-    name) is written once to the checkpoint folder; the row count observed on
-    that write is the size check for broadcasting it; beyond the bound it is
-    joined by shuffle (AQE splits a hot product).
+    name) is written once to the checkpoint folder; it is broadcast when its
+    bytes are within Spark's threshold, and joined by shuffle with a hot
+    product split otherwise.
     """
     copies = (stg.select("product_name", "brand").distinct()
                  .filter(F.col("product_name").isNotNull())
                  .groupBy("product_name").agg(F.count(F.lit(1)).alias("_copies")))
-    copies, n_names = materialize(copies, "fact_name_copies")
-    if n_names <= broadcast_rows:
-        copies = F.broadcast(copies)
+    copies, _ = materialize(copies, "fact_name_copies")
     j = stg.join(copies, "product_name", "left")
     j = j.withColumn("_rep", F.explode(F.array_repeat(F.lit(0), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))))
     name, src, ts, cat = (F.col("product_name"), F.col("marketplace_source"), F.col("scraped_at"), F.col("category"))

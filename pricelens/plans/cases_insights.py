@@ -82,7 +82,7 @@ RAW_EFF = O.with_views("raw_listings") + f""", e as (select *, {O.eff_sql()} as
    from b where bn >= {C.ANOMALY_MIN_OBS}),
  z as (select e.id, e.product_name, e.source, e.scraped_at, e.effective_price, b2.baseline_n, b2.baseline_mean,
    b2.baseline_std, case when b2.baseline_std > 0 then (e.effective_price - b2.baseline_mean) / b2.baseline_std end as z_score
-   from e join b2 on e.product_name = b2.product_name and e.source = b2.source and cast(e.scraped_at as date) = b2.day)
+   from e left join b2 on e.product_name = b2.product_name and e.source = b2.source and cast(e.scraped_at as date) = b2.day)
 select *, coalesce(abs(z_score) > {C.ANOMALY_Z}, false) as is_anomaly from z""")
 def q_anomalies(spark, sf_dir):
     return I.price_anomalies(view(spark, sf_dir, "raw_listings"), flagged_only=False)

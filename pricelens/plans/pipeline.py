@@ -12,7 +12,7 @@ import json
 import logging
 from datetime import datetime, timezone
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,10 +41,9 @@ class PipelineConfig:
     run_date: str                      # UTC date of the run, e.g. "2024-01-02"
     run_ts: str                        # stamp for verdicts, e.g. "2024-01-02 06:00:00"
     matches_path: str | None = None    # stored verdicts (Parquet); created on first run
-    max_pairs: int = C.MAX_PAIRS_PER_RUN
+    max_pairs: int | None = None       # scoring budget of one run; None scores every candidate
     scorer: Callable[[dict], str] | None = None   # pair -> verdict JSON; None = rule scorer
     clean_fallback: str | None = None
-    extra: dict = field(default_factory=dict)
 
 
 def run_ingest_items(spark: SparkSession, items: DataFrame, listings_target: str, ingest_ts: str,
@@ -76,7 +75,7 @@ def _next_id(spark: SparkSession, target: str) -> int:
     """First free id of the listing table (one max over the id column)."""
     if not IO._exists(spark, target):
         return 1
-    m = spark.read.schema(S.RAW_LISTING).parquet(target).agg(F.max("id")).first()[0]
+    m = IO.read_listings(spark, path=target).agg(F.max("id")).first()[0]
     return int(m or 0) + 1
 
 
@@ -98,7 +97,7 @@ def match_verdicts(pairs: DataFrame, scorer: Callable[[dict], str] | None) -> Da
 
 
 def run_matcher(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dict:
-    """Candidates -> capped pairs -> verdicts -> validated rows appended.
+    """Candidates -> pairs (capped only by `max_pairs`) -> verdicts -> validated rows appended.
 
     Both verdicts (match / no match) are stored and block re-scoring; pairs
     without a valid verdict count as processed but are not stored, so they
@@ -107,9 +106,9 @@ def run_matcher(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dic
     target = cfg.matches_path or f"{cfg.out_root}/matched_products"
     existing = spark.read.schema(S.MATCHED_PRODUCT).parquet(target) if IO._exists(spark, target) else None
     cands = M.candidates(raw, existing)
-    pairs = M.to_pairs(M.cap_pairs(cands, cfg.max_pairs))
-    # The capped pair set is small and the scorer may be costly: write it
-    # once so retries never re-run the candidate search.
+    pairs = M.to_pairs(cands if cfg.max_pairs is None else M.cap_pairs(cands, cfg.max_pairs))
+    # The scorer may be costly: write the pairs once so retries never re-run
+    # the candidate search.
     pairs_path = f"{cfg.out_root}/match_runs/run_ts={cfg.run_ts.replace(' ', 'T')}/pairs"
     pairs.write.mode("overwrite").parquet(pairs_path)
     pairs = spark.read.parquet(pairs_path)
@@ -130,6 +129,8 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, matches: DataFrame | None
     counts = {"raw_listings": IO.replace_table(IO.stage_listings(raw), f"{root}/raw_listings")}
     if matches is not None:
         counts["raw_matched_products"] = IO.replace_table(IO.stage_matched(matches), f"{root}/raw_matched_products")
+        staged = W.stg_matched(spark.read.parquet(f"{root}/raw_matched_products"))
+        counts["stg_matched"] = IO.replace_table(staged, f"{root}/stg_matched")
     stg = W.stg_listings(spark.read.parquet(f"{root}/raw_listings"))
     counts["stg_listings"] = IO.replace_table(stg, f"{root}/stg_listings")
     stg = spark.read.parquet(f"{root}/stg_listings")
@@ -185,7 +186,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="shared output root")
     ap.add_argument("--run-date", default=None)
     ap.add_argument("--run-ts", default=None)
-    ap.add_argument("--max-pairs", type=int, default=C.MAX_PAIRS_PER_RUN)
+    ap.add_argument("--max-pairs", type=int, default=None)
     a = ap.parse_args(argv)
     now = datetime.now(timezone.utc)
     spark = SparkSession.builder.appName("pricelens").getOrCreate()

@@ -29,11 +29,6 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from pricelens.plans import cases_clean  # noqa: F401
-    for mod in ("cases_star", "cases_summary", "cases_parse", "cases_verdicts", "cases_match", "cases_insights",
-                "cases_io"):
-        try:
-            __import__(f"pricelens.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"pricelens.plans.{mod}":
-                raise
+    from pricelens.plans import (  # noqa: F401
+        cases_clean, cases_insights, cases_io, cases_match, cases_parse, cases_star, cases_summary, cases_verdicts,
+    )

@@ -57,8 +57,10 @@ def read_listings(spark: SparkSession, path: str | None = None, jdbc: dict | Non
     taken from `id_bounds` or from one min/max query.
     """
     if path is not None:
-        # conform drops folder-partition columns (e.g. landing_batch=<id>).
-        return conform(spark.read.schema(S.RAW_LISTING).parquet(path), S.RAW_LISTING)
+        # Files of batch appends lie at the root, those of landed micro-batches
+        # in folders landing_batch=<id>: the recursive look-up reads both.
+        files = spark.read.schema(S.RAW_LISTING).option("recursiveFileLookup", True)
+        return conform(files.parquet(path), S.RAW_LISTING)
     if jdbc is None:
         raise ValueError("read_listings needs a path or jdbc options")
     if id_bounds is None:
@@ -222,7 +224,7 @@ def reload_tables(listings: DataFrame, listings_target: str, matches_target: str
     return replace_table(listings, listings_target, S.RAW_LISTING, skip_if_empty=False, fmt=fmt)
 
 
-WAREHOUSE_TABLES = ("raw_listings", "raw_matched_products", "stg_listings", "dim_product", "dim_source",
+WAREHOUSE_TABLES = ("raw_listings", "raw_matched_products", "stg_listings", "stg_matched", "dim_product", "dim_source",
                     "dim_time", "dim_category", "fact_price_snapshot")
 
 

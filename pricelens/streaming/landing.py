@@ -29,8 +29,12 @@ def _to_listing(df: DataFrame, tz: str) -> DataFrame:
 def batch_row_id(batch_id: int) -> Column:
     mono = F.monotonically_increasing_id()
     part = F.shiftright(mono, 33)
-    row = mono.bitwiseAND(F.lit((1 << 31) - 1))
-    return (F.lit(batch_id << 43) + F.shiftleft(part, 31) + row).cast("bigint")
+    row = mono.bitwiseAND(F.lit((1 << 33) - 1))
+    if not 0 <= batch_id < 1 << 20:
+        raise ValueError(f"batch {batch_id} does not fit the 20 bits of a landed id")
+    fits = (part < 1 << 12) & (row < 1 << 31)
+    packed = F.lit(batch_id << 43) + F.shiftleft(part, 31) + row
+    return F.when(fits, packed).otherwise(F.raise_error("a landed batch has too many tasks or rows for its ids")).cast("bigint")
 
 
 def write_landing_batch(batch: DataFrame, target: str, batch_id: int) -> None:
@@ -46,7 +50,7 @@ def landing_stream(spark: SparkSession, landing_dir: str, target: str, checkpoin
     """Start the landing query. Ids pack (batch id, task partition, row in
     partition) into one bigint - 20, 12 and 31 bits - so they are unique
     across batches; a replayed batch (after a failure) writes the same ids
-    again."""
+    again, and a batch that does not fit fails instead of repeating ids."""
     reader = spark.readStream.schema(S.LISTING_JSON).option("multiLine", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

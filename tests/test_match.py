@@ -100,11 +100,16 @@ def test_name_pairs_cover_all_qualifying(spark, small):
             assert ((c, b, e) in got) == (bound >= 0.25)
 
 
-def test_salted_expansion_equals_broadcast(spark, small):
+def test_shuffle_expansion_equals_broadcast(spark, small):
     raw, rows = small
     ex = spark.createDataFrame([(0, 0)], "ebay_listing_id long, bestbuy_listing_id long")
     a = _spark_result(M.candidates(raw, ex))
-    b = _spark_result(M.candidates(raw, ex, broadcast_rows=0, salt_buckets=5))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = _spark_result(M.candidates(raw, ex))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert a == b
 
 

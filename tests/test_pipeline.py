@@ -61,6 +61,9 @@ def test_landing_stream(spark, tmp_root):
     write_landing_batch(batch, target, 7)
     write_landing_batch(batch, target, 7)
     assert IO.read_listings(spark, path=target).count() == 8
+    # Rows of a batch append lie beside the landed ones; all are read back.
+    IO.append_listings(IO.read_listings(spark, path=target).drop("id").limit(3), target, id_offset=1)
+    assert IO.read_listings(spark, path=target).count() == 11
 
 
 def test_ingest_items_and_files(spark, tmp_root):

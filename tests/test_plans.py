@@ -36,15 +36,13 @@ def test_history_filter_reaches_scan(spark):
     assert "PushedFilters" in p and "l_shipdate" in p.split("PushedFilters")[1][:300]
 
 
-def test_small_dims_broadcast_after_check(spark):
+def test_not_null_checks_are_one_scan(spark):
     from pricelens.fixture import view
-    from pricelens.operators import warehouse as W
+    from pricelens.operators import quality
 
-    stg = W.stg_listings(view(spark, SF_SMALL, "star_listings"))
-    d = [W.dim_product(stg), W.dim_source(stg), W.dim_time(stg), W.dim_category(stg)]
-    checked = plan(W.fact_price_snapshot(stg, *d, dims_materialized=True)).count("BroadcastExchange")
-    refused = plan(W.fact_price_snapshot(stg, *d, dims_materialized=True, broadcast_rows=1)).count("BroadcastExchange")
-    assert checked >= 2 and refused < checked
+    raw = view(spark, SF_SMALL, "raw_listings")
+    p = plan(quality.check_not_null(raw, ["id", "price", "source"], "raw"))
+    assert sum("FileScan parquet" in line and "lineitem" in line for line in p.split("\n")) == 1
 
 
 def test_json_parsed_once(spark):

@@ -39,7 +39,13 @@ def test_fact_plans_agree_on_nulls(spark):
 
 def test_fact_shuffle_path_equals_broadcast_path(spark):
     stg = W.stg_listings(view(spark, SF_SMALL, "raw_listings"))
-    assert _bag(W.fact_from_staging(stg)) == _bag(W.fact_from_staging(stg, broadcast_rows=0))
+    small = _bag(W.fact_from_staging(stg))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _bag(W.fact_from_staging(stg)) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_models_as_sql_views(spark):

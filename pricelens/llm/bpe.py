@@ -34,6 +34,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from pricelens.llm.common import map_arrow
+
 LONG_PIECE = 4096
 # Units kept per worker in each of two generations.
 CACHE_UNITS = 300_000
@@ -313,4 +315,4 @@ def encode(df: DataFrame, path: str, text_col: str = "text", decode: bool = Fals
     names = [c for c in (df.columns if keep is None else keep) if c not in made]
     fields = [df.schema[c] for c in names] + [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
     fields += [T.StructField("decoded", T.StringType())] * decode
-    return df.select(*dict.fromkeys([*names, text_col])).mapInArrow(_run(path, text_col, names, decode), T.StructType(fields))
+    return map_arrow(df.select(*dict.fromkeys([*names, text_col])), _run(path, text_col, names, decode), T.StructType(fields))

@@ -35,3 +35,15 @@ def crc32_text(col: str | Column) -> Column:
 def fold_of(id_col: str, folds: int) -> Column:
     """Deterministic fold of a row: crc32 of the id as text, modulo `folds`; 0 for a null id."""
     return F.coalesce(F.pmod(crc32_text(id_col), F.lit(folds)), F.lit(0)).cast("int")
+
+
+# Rows of an Arrow batch: whole texts are long, and a worker holds a batch at a time.
+ARROW_ROWS = 1000
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """`mapInArrow` over batches of at most ARROW_ROWS rows (fewer if the session says so)."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= ARROW_ROWS:
+        conf.set(name, str(ARROW_ROWS))
+    return df.mapInArrow(run, schema)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens.llm.bpe import slices
+from pricelens.llm.common import map_arrow
 
 SEGMENT = 128
 HIDDEN = 8
@@ -246,4 +247,4 @@ def predict(df: DataFrame, net: ByteGru | None, text_col: str = "text", keep: li
         return df.select(*names, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     fields = [df.schema[c] for c in names] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     rows = df.select(*dict.fromkeys([*names, text_col]), has_letter(F.col(text_col)).alias("_letter"))
-    return rows.mapInArrow(_predict(net, text_col, "_letter", names), T.StructType(fields))
+    return map_arrow(rows, _predict(net, text_col, "_letter", names), T.StructType(fields))

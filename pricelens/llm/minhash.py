@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import written
+from pricelens.llm.common import map_arrow, written
 
 SHINGLE = 5
 HASHES = 512
@@ -165,7 +165,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n (set size), node (identity of the set), bands, sig; the last two null for an empty set."""
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+    return map_arrow(
+        df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
         _signatures, f"id {kind}, n long, node long, bands array<long>, sig array<long>")
 
 
@@ -326,7 +327,7 @@ def near_duplicates(df: DataFrame, percent: int = 80, id_col: str = "doc_id", te
     wanted = members.select("node").distinct()
     firsts = nodes.join(wanted, "node", "left_semi").select(F.col("label").alias("first")).distinct()
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(firsts, F.col("id").eqNullSafe(F.col("first")), "left_semi")
-    sets = written(texts.select("text").mapInArrow(_sets, "node long, shingles array<long>")
+    sets = written(map_arrow(texts.select("text"), _sets, "node long, shingles array<long>")
                    .groupBy("node").agg(F.any_value("shingles").alias("shingles")), "nd_sets")
 
     stars = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()

@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.llm.bpe import byte_symbols, slices
-from pricelens.llm.common import written
+from pricelens.llm.common import map_arrow, written
 
 END_ID = 0
 SHARD_BYTES = 16 << 20
@@ -291,8 +291,8 @@ def write(df: DataFrame, vocabulary: str, path: str, id_col: str = "doc_id", tex
     """Encode and write all documents of `df` below `path`, then the index."""
     docs = (df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
             .repartitionByRange("key").sortWithinPartitions(F.col("key").asc_nulls_first(), F.xxhash64("text")))
-    entries = written(docs.mapInArrow(_write_shards(vocabulary, path),
-                                      "key string, id long, partition int, shard long, first long, docs long, ids long"), "token_entries")
+    entries = written(map_arrow(docs, _write_shards(vocabulary, path),
+                                "key string, id long, partition int, shard long, first long, docs long, ids long"), "token_entries")
     # The first id of every range partition: as many rows as there are write tasks.
     totals = sorted((r["partition"], r["n"]) for r in entries.groupBy("partition").agg(F.sum("ids").alias("n")).collect())
     base, bases = 0, []

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelens.llm.common import written
+from pricelens.llm.common import map_arrow, written
 
 # The bound of the training sample.
 POSITIVES = 3000
@@ -193,4 +193,4 @@ def score(df: DataFrame, model: Toxicity | None, text_col: str = "text", keep: l
     if not model.features:
         return df.select(*names, F.lit(float(0.5 * np.tanh(0.5 * model.intercept) + 0.5)).alias("score"))
     fields = [df.schema[c] for c in names] + [T.StructField("score", T.DoubleType())]
-    return df.select(*names, words(F.col(text_col)).alias("_words")).mapInArrow(_score(model, names), T.StructType(fields))
+    return map_arrow(df.select(*names, words(F.col(text_col)).alias("_words")), _score(model, names), T.StructType(fields))

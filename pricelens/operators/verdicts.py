@@ -90,9 +90,9 @@ def score_pairs(pairs: DataFrame, scorer: Callable[[dict], str], attempts: int =
                 text_cols: tuple[str, ...] = ("ebay_title", "bestbuy_title", "ebay_price",
                                               "bestbuy_price", "category")) -> DataFrame:
     """Call `scorer(pair_dict) -> verdict JSON text` for each pair on the
-    executors (Arrow batches through mapInPandas; the scorer is built once per
-    partition). A call that raises is retried up to `attempts` times; after
-    that the verdict is NULL, so the pair counts as failed and is not saved.
+    executors (Arrow batches through mapInPandas). A call that raises or whose text is no JSON object is retried,
+    up to `attempts` calls; after that the verdict is NULL or the last text, so
+    the pair counts as failed and is not saved.
     """
     out_schema = T.StructType(pairs.schema.fields + [T.StructField("verdict", T.StringType(), True)])
 
@@ -107,7 +107,8 @@ def score_pairs(pairs: DataFrame, scorer: Callable[[dict], str], attempts: int =
                         out = scorer(rec)
                         if out is not None and not isinstance(out, str):
                             out = json.dumps(out)
-                        break
+                        if isinstance(json.loads(out or "null"), dict):
+                            break
                     except Exception:  # noqa: BLE001 - a failed call is retried, then NULL
                         out = None
                 verdicts.append(out)
@@ -116,18 +117,39 @@ def score_pairs(pairs: DataFrame, scorer: Callable[[dict], str], attempts: int =
     return pairs.mapInPandas(run, out_schema)
 
 
+def _strictly_valid(col: str):
+    """True for one whole JSON object whose fields have the declared JSON types.
+
+    `from_json` converts types and ignores text after the object, so the types
+    are read from the parsed variant, and the text must also be valid as the
+    one value of an array and of an object.
+    """
+    text = F.col(col)
+    v = F.try_variant_get(F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))), "$.v", "variant")
+    alone = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
+
+    def kind(field: str):
+        return F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant"))
+
+    number = kind("confidence").rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
+    ok = alone & F.schema_of_variant(v).startswith("OBJECT") & (kind("is_match") == "BOOLEAN") & number & (kind("reasoning") == "STRING")
+    for field in ("canonical_name", "brand", "model_number"):
+        ok = ok & F.coalesce(kind(field), F.lit("VOID")).isin("STRING", "VOID")
+    return F.coalesce(ok & F.from_json(text, S.VERDICT)["confidence"].between(0.0, 1.0), F.lit(False))
+
+
 def validate_verdicts(df: DataFrame, col: str = "verdict") -> tuple[DataFrame, DataFrame]:
     """Split verdict texts into (valid, rejected).
 
     Valid: a JSON object with boolean is_match, numeric confidence in [0, 1]
-    and a string reasoning. JSON types are strict (no "yes" -> true).
+    and a string reasoning; names, brand and model number are strings, null or
+    missing. JSON types are strict (no "yes" -> true, no 5 -> "5"), and nothing
+    but blanks may follow the object.
     Empty / missing canonical_name and brand become "Unknown".
     """
     v = F.from_json(F.col(col), S.VERDICT)
     parsed = df.withColumn("_v", v)
-    ok = (F.col("_v").isNotNull() & F.col("_v.is_match").isNotNull()
-          & F.col("_v.confidence").between(0.0, 1.0) & F.col("_v.reasoning").isNotNull())
-    parsed = parsed.withColumn("_ok", F.coalesce(ok, F.lit(False)))
+    parsed = parsed.withColumn("_ok", _strictly_valid(col))
     keep = [c for c in df.columns if c != col]
     valid = parsed.filter("_ok").select(
         *keep, F.col("_v.is_match").alias("is_match"), F.col("_v.confidence").alias("confidence"),
@@ -141,8 +163,7 @@ def validate_verdicts(df: DataFrame, col: str = "verdict") -> tuple[DataFrame, D
 def verdict_outcomes(df: DataFrame, col: str = "verdict") -> DataFrame:
     """Per pair: valid flag and accepted flag (is_match and confidence >= 0.6)."""
     v = F.from_json(F.col(col), S.VERDICT)
-    ok = F.coalesce(v.isNotNull() & v["is_match"].isNotNull() & v["confidence"].between(0.0, 1.0)
-                    & v["reasoning"].isNotNull(), F.lit(False))
+    ok = _strictly_valid(col)
     acc = ok & F.coalesce(v["is_match"] & (v["confidence"] >= C.CONFIDENCE_THRESHOLD), F.lit(False))
     return df.select("*", ok.alias("valid"), acc.alias("accepted"))
 

@@ -49,3 +49,24 @@ def test_prompt_text(spark):
     assert "  Price: $900.00\n" in r[0].prompt and r[0].prompt.count("Price:") == 1
     assert "  Category: None\n" in r[1].prompt and r[1].prompt.count("Price:") == 1
     assert r[0].prompt.endswith("Respond with JSON only.")
+
+
+def test_strict_types_and_trailing_text(spark):
+    base = '{"is_match":true,"confidence":0.9,"canonical_name":"N","brand":"B","model_number":"M","reasoning":"r"}'
+    shapes = [(base, True), (base + "  ", True), (base.replace('"M"', "null"), True), (base.replace("0.9", "1"), True),
+              (base.replace('"r"', "5"), False), (base.replace('"M"', "123"), False), (base.replace('"N"', '{"a":1}'), False),
+              (base.replace("true", '"yes"'), False), (base.replace("0.9", '"0.9"'), False), (base + " x", False),
+              (base + " " + base, False), (base + "," + base, False), (base + "] [" + base, False), ("[" + base + "]", False), (None, False)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(shapes)], "pair_id long, verdict string")
+    valid, rejected = V.validate_verdicts(df)
+    assert sorted(r["pair_id"] for r in valid.collect()) == [i for i, (_, ok) in enumerate(shapes) if ok]
+    assert valid.count() + rejected.count() == len(shapes)
+
+
+def test_unparsable_verdict_is_retried(spark):
+    def scorer(rec):
+        scorer.calls = getattr(scorer, "calls", 0) + 1
+        return "not json" if scorer.calls < 3 else '{"is_match":true}'
+
+    pairs = spark.createDataFrame([("a", "b", 1.0, 2.0, "c")], "ebay_title string, bestbuy_title string, ebay_price double, bestbuy_price double, category string")
+    assert V.score_pairs(pairs, scorer).first()["verdict"] == '{"is_match":true}'

@@ -80,9 +80,19 @@ def _next_id(spark: SparkSession, target: str) -> int:
 
 
 def run_clean(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dict:
-    """Clean job: one write action; counters observed on the way."""
-    out, (o_in, o_dd, o_out) = CL.clean_listings_observed(raw)
-    path = IO.write_clean(out, f"{cfg.out_root}/processed/clean", cfg.run_date, cfg.clean_fallback)
+    """Clean job: one write action; counters observed on the way. The fallback
+    write gets observations of its own: those of a failed attempt are partial."""
+    def attempt(root: str):
+        out, observed = CL.clean_listings_observed(raw)
+        return IO.write_clean(out, root, cfg.run_date), observed
+
+    try:
+        path, (o_in, o_dd, o_out) = attempt(f"{cfg.out_root}/processed/clean")
+    except Exception:
+        if cfg.clean_fallback is None:
+            raise
+        log.exception("clean write failed, writing to fallback %s", cfg.clean_fallback)
+        path, (o_in, o_dd, o_out) = attempt(cfg.clean_fallback)
     return {"path": path, "input_rows": o_in.get["input_rows"], "dedup_rows": o_dd.get["dedup_rows"],
             "removed_duplicates": o_in.get["input_rows"] - o_dd.get["dedup_rows"],
             "output_rows": o_out.get["output_rows"]}

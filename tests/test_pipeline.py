@@ -82,3 +82,16 @@ def test_ingest_items_and_files(spark, tmp_root):
     df = IO.read_listings(spark, path=target)
     assert df.count() == 51 and df.select("id").distinct().count() == 51
     assert df.filter(F.col("source") == "ebay").select("scraped_at").distinct().count() == 1
+
+
+def test_fallback_counters_are_those_of_the_committed_write(spark, tmp_root):
+    from pricelens.plans.pipeline import PipelineConfig, run_clean
+
+    blocked = os.path.join(tmp_root, "blocked")
+    os.makedirs(blocked)
+    with open(os.path.join(blocked, "processed"), "w") as f:  # a file where the folder should go
+        f.write("x")
+    raw = view(spark, SF_SMALL, "raw_listings")
+    good = run_clean(spark, raw, PipelineConfig("", os.path.join(tmp_root, "good"), "2024-01-02", "2024-01-02 06:00:00"))
+    fell = run_clean(spark, raw, PipelineConfig("", blocked, "2024-01-02", "2024-01-02 06:00:00", clean_fallback=os.path.join(tmp_root, "fb")))
+    assert {k: v for k, v in fell.items() if k != "path"} == {k: v for k, v in good.items() if k != "path"} and fell["path"].startswith(os.path.join(tmp_root, "fb"))

@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.common import written
 
-# Characters a classifier counts: letters that tell languages apart, letters
+# Characters a classifier counts: all plain letters, letters
 # with marks, and signs of tables, shouting and code.
-LETTERS = "aehiklnoqstuw"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 MARKED = "äüßéèñó"
 SIGNS = "|!0_"
 # How many characters' evidence a document counts for, whatever its length: the

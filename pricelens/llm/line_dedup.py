@@ -14,9 +14,16 @@ with a character less. Only the earliest line of a key is needed to decide
 about the others, so a key gives as many pairs as it has lines. The pairs'
 edit distances are then verified on the texts.
 
-Which lines may have a neighbour is found first, without loss: of two lines
+Which lines may have a neighbour is found first, without loss. Of two lines
 within one edit, the first or the last half(n) characters agree, where n is the
-smaller length; a line whose halves nobody shares emits no variants.
+smaller length; only the texts of lines that share a half are read again, behind
+a bit filter of fixed size on their hashes. Then n is cut into WINDOWS windows:
+two lines whose edit lies in a window agree before and behind it, so a line
+emits the variants of a window only where another line agrees around it.
+
+The result is carried as kept places (at most one per distinct line), so a line
+that a third of all documents hold gives one place and no hot group; texts meet
+their places once, by document.
 
 Defined results: lines end at line feeds; a null text has no lines and stays
 null, an empty text is one blank line; blank lines are kept; lines of fewer
@@ -32,21 +39,37 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import written
+from pricelens.llm.common import map_arrow, written
 
 MIN_CHARS = 20
+# Windows of a line in which the one edit may lie.
+WINDOWS = 8
+# Size of the bit filter: 262,144 words of 64 bits. More candidates make it let more lines through, never fewer.
+FILTER_BITS = 1 << 24
+
+
+def _first() -> Column:
+    """Order of a line's occurrences."""
+    return F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"), F.col("pos").alias("pos"))
+
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _row(id_col: str, text_col: str) -> Column:
+    """Identity of a document."""
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+
+
 def line_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """row (identity of the document), id, pos, line, h (64-bit identity of the line)."""
-    text = F.col(text_col)
-    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col).cast("string"), text).alias("row"),
-                     F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+    rows = df.select(F.col(id_col).alias("id"), _row(id_col, text_col).alias("row"),
+                     F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
     return rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("h", F.xxhash64("line"))
 
 
@@ -82,22 +105,32 @@ def variant_keys(line: str) -> tuple[np.ndarray, int]:
 
 
 def _neighbourhood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per line: its keys. `kind` tells variants met at a place from whole lines and variants met as lines."""
+    """Per line and shared windows: the keys of the windows' variants.
+
+    A window is d * WINDOWS + g: window g of the line's length less d. `kind`
+    tells variants met at a place (0), variants of a longer line met as lines (1)
+    and whole lines (2).
+    """
     for b in batches:
         for at in range(0, b.num_rows, 200):
             h, key, whole = [], [], []
             for i in range(at, min(at + 200, b.num_rows)):
-                line = b.column(1)[i].as_py()
-                without, own = variant_keys(line)
-                n = len(without)
+                without, own = variant_keys(b.column(1)[i].as_py())
+                m = len(without)
+                places: list[list[np.ndarray]] = [[], []]
+                for window in b.column(2)[i].as_py():
+                    d, g = divmod(window, WINDOWS)
+                    n = m - d
+                    # The last window of a longer line also has the place behind the shorter one.
+                    places[d].append(np.arange(n * g // WINDOWS, n * (g + 1) // WINDOWS + (d and g == WINDOWS - 1)))
+                same, longer = (np.concatenate([np.zeros(0, np.int64), *p]) for p in places)
                 # A character that equals its left neighbour gives the same variant as that one.
-                same_place = _mix(without + np.arange(1, n + 1, dtype=np.uint64) * _MULTIPLIER + np.uint64(n))
-                as_line = np.unique(_mix(without + np.uint64(n - 1)))
-                own_key = _mix(np.array([np.uint64(own) + np.uint64(n)], dtype=np.uint64))
-                keys = np.concatenate([same_place, as_line, own_key])
-                key.append(keys.view(np.int64))
-                whole.append(np.concatenate([np.zeros(n, np.int8), np.full(len(as_line), 1, np.int8), np.full(1, 2, np.int8)]))
-                h.append(np.full(len(keys), b.column(0)[i].as_py(), dtype=np.int64))
+                keys = [_mix(without[same] + (same + 1).astype(np.uint64) * _MULTIPLIER + np.uint64(m)),
+                        np.unique(_mix(without[longer] + np.uint64(m - 1))),
+                        _mix(np.full(int(bool(places[0])), np.uint64(own) + np.uint64(m), dtype=np.uint64))]
+                key += [k.view(np.int64) for k in keys]
+                whole += [np.full(len(k), kind, np.int8) for kind, k in enumerate(keys)]
+                h.append(np.full(sum(map(len, keys)), b.column(0)[i].as_py(), dtype=np.int64))
             yield pa.RecordBatch.from_pydict({"h": np.concatenate(h), "key": np.concatenate(key), "kind": np.concatenate(whole)})
 
 
@@ -118,19 +151,49 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"h": b.column(0).filter(pa.array(keep, pa.bool_()))})
 
 
-def near_lines(distinct: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """h of every distinct line (h, line, first) that is within one edit of an
-    earlier one; `first` orders the lines."""
-    long = distinct.where(F.char_length("line") >= min_chars)
-    n = F.char_length("line")
+def _half_ends(line: Column) -> Column:
+    """Hashes of the first and last halves under which a line meets those within one edit."""
+    n = F.char_length(line)
     halves = F.array_distinct(F.array(F.floor(n / 2), F.floor((n - 1) / 2))).cast("array<int>")
-    ends = (long.select("h", "line", F.explode(halves).alias("half"))
-            .select("h", F.explode(F.array(F.xxhash64(F.lit("first"), "half", F.expr("left(line, half)")),
-                                           F.xxhash64(F.lit("last"), "half", F.expr("right(line, half)")))).alias("end")))
-    shared = ends.groupBy("end").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("end")
-    candidates = written(long.join(ends.join(shared, "end", "left_semi").select("h").distinct(), "h", "left_semi"), "ld_candidates")
+    return F.flatten(F.transform(halves, lambda half: F.array(F.xxhash64(F.lit("first"), half, F.left(line, half)),
+                                                              F.xxhash64(F.lit("last"), half, F.right(line, half)))))
 
-    keys = (candidates.select("h", "line").mapInArrow(_neighbourhood, "h long, key long, kind byte")
+
+def _window_ends(line: Column) -> Column:
+    """Per window: its number, and the hash of what lies before and behind it."""
+    out = []
+    for d in (0, 1):
+        n = F.char_length(line) - d
+        for g in range(WINDOWS):
+            start, stop = ((F.floor(n * k / WINDOWS)).cast("int") for k in (g, g + 1))
+            out.append(F.struct(F.lit(d * WINDOWS + g).alias("window"),
+                                F.xxhash64(n, F.lit(g), F.left(line, start), F.right(line, n - stop)).alias("end")))
+    return F.array(*out)
+
+
+def _shared(ends: DataFrame) -> DataFrame:
+    """The rows of `ends` (h, end, ..) whose end several lines have."""
+    several = ends.groupBy("end").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("end")
+    return ends.join(several, "end", "left_semi")
+
+
+def near_lines(lines: DataFrame, distinct: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """h of every distinct line that is within one edit of an earlier one.
+
+    `lines` has all of them (h, line, id, row, pos), `distinct` one row per h with its `ends`.
+    """
+    halved = written(_shared(distinct.where("ends is not null").select("h", F.explode("ends").alias("end"))).select("h").distinct(), "ld_halved")
+    # At most FILTER_BITS / 64 rows of two numbers: a bit filter that spares most texts the shuffle.
+    slot = F.pmod(F.col("h"), F.lit(FILTER_BITS))
+    word, bit = F.shiftright(slot, 6), "cast(pmod(h, 64) as int)"
+    marks = halved.groupBy(word.alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("bits"))
+    maybe = (lines.where(F.char_length("line") >= min_chars).withColumn("word", word).join(F.broadcast(marks), "word")
+             .where(F.expr(f"(shiftrightunsigned(bits, {bit}) & 1L) = 1L")))
+    candidates = written(maybe.groupBy("h").agg(F.any_value("line").alias("line"), F.min(_first()).alias("first")).join(halved, "h"), "ld_candidates")
+
+    windows = (_shared(candidates.select("h", F.explode(_window_ends(F.col("line"))).alias("w")).select("h", "w.window", "w.end"))
+               .groupBy("h").agg(F.collect_set("window").alias("windows")))
+    keys = (candidates.join(windows, "h").select("h", "line", "windows").mapInArrow(_neighbourhood, "h long, key long, kind byte")
             .join(candidates.select("h", "first"), "h"))
     keys = written(keys, "ld_keys")
     # Variants of one place: everyone against the earliest. Whole lines: against the earliest variant that equals them.
@@ -145,25 +208,89 @@ def near_lines(distinct: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return both.mapInArrow(_verified, "h long").distinct()
 
 
+def kept_places(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+    """Per document with any: row, kept (places of the lines that stay and are not blank)."""
+    lines = line_table(df, id_col, text_col)
+    line = F.col("line")
+    # Earliest occurrence of every distinct line, combined on the map side.
+    distinct = written(lines.withColumn("ends", F.when(F.char_length(line) >= min_chars, _half_ends(line)))
+                       .groupBy("h").agg(F.min(_first()).alias("first"), F.any_value("ends").alias("ends")), "ld_distinct")
+    near = written(near_lines(lines, distinct, min_chars), "ld_near")
+    stay = distinct.join(near, "h", "left_anti").select("first.row", "first.pos")
+    return stay.groupBy("row").agg(F.collect_list("pos").alias("kept"))
+
+
+def _placed(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+    """`df` with `_ld_row` and `_ld_kept`."""
+    places = written(kept_places(df, id_col, text_col, min_chars), "ld_places")
+    return (df.withColumn("_ld_row", _row(id_col, text_col))
+            .join(places.select(F.col("row").alias("_ld_row"), F.col("kept").alias("_ld_kept")), "_ld_row", "left"))
+
+
+def _is_blank(line: str) -> bool:
+    return not line.strip(" \t\n\x0b\x0c\r")
+
+
+def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, 100):
+            part = b.slice(at, 100)
+            source, pos, line, stays = [], [], [], []
+            for i, (text, kept) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
+                places = set(kept or ())
+                for k, x in enumerate(text.split("\n")):
+                    if not _is_blank(x):
+                        source.append(i)
+                        pos.append(k)
+                        line.append(x)
+                        stays.append(k in places)
+            index = pa.array(source, pa.int32())
+            yield pa.RecordBatch.from_arrays([part.column(0).take(index), part.column(1).take(index), pa.array(pos, pa.int32()),
+                                              pa.array(line, pa.string()), pa.array(stays, pa.bool_())], names=["id", "row", "pos", "line", "kept"])
+
+
 def decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per line that is not blank: id, row, pos, line, kept."""
-    lines = written(line_table(df, id_col, text_col), "ld_lines")
-    # Earliest occurrence of every distinct line, combined on the map side.
-    first = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"), F.col("pos").alias("pos"))
-    distinct = written(lines.groupBy("h").agg(F.min(first).alias("first"), F.any_value("line").alias("line")), "ld_distinct")
-    near = written(near_lines(distinct, min_chars), "ld_near")
-    marked = lines.join(distinct.select("h", "first"), "h").join(near.withColumn("near", F.lit(True)), "h", "left")
-    earliest = (F.col("row") == F.col("first.row")) & (F.col("pos") == F.col("first.pos"))
-    return marked.select(F.col("id").alias(id_col), "row", "pos", "line", (F.col("near").isNull() & earliest).alias("kept"))
+    placed = _placed(df, id_col, text_col, min_chars).where(F.col(text_col).isNotNull())
+    kind = df.schema[id_col].dataType.simpleString()
+    out = map_arrow(placed.select(F.col(id_col).alias("id"), F.col("_ld_row").alias("row"), F.col(text_col).alias("text"), F.col("_ld_kept").alias("kept")),
+                    _decided, f"id {kind}, row long, pos int, line string, kept boolean")
+    return out.withColumnRenamed("id", id_col) if id_col != "id" else out
+
+
+def _selected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, 100):
+            part = b.slice(at, 100)
+            n, kept = [], []
+            for text, places in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                found = text.split("\n") if text is not None else []
+                n.append(sum(not _is_blank(x) for x in found))
+                kept.append([found[k] for k in sorted(places or ())])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(kept, pa.list_(pa.string()))],
+                                             names=["id", "n_lines", "kept"])
+
+
+def kept_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+    """Per document: id, n_lines (not blank), kept (the lines that stay, in order)."""
+    placed = _placed(df, id_col, text_col, min_chars)
+    kind = df.schema[id_col].dataType.simpleString()
+    out = map_arrow(placed.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col("_ld_kept").alias("kept")),
+                    _selected, f"id {kind}, n_lines long, kept array<string>")
+    return out.withColumnRenamed("id", id_col) if id_col != "id" else out
+
+
+def _without_dropped(text: pd.Series, kept: pd.Series) -> pd.Series:
+    def one(x: str | None, places) -> str | None:
+        if x is None:
+            return None
+        stay = set(places) if places is not None else ()
+        return "\n".join(line for k, line in enumerate(x.split("\n")) if k in stay or _is_blank(line))
+
+    return pd.Series([one(x, p) for x, p in zip(text, kept, strict=True)], dtype=object)
 
 
 def cleaned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """`df` with the dropped lines taken out of the texts; rows and other columns stay."""
-    dropped = (decisions(df, id_col, text_col, min_chars).where("not kept").select("row", "pos").distinct()
-               .groupBy("row").agg(F.array_sort(F.collect_set("pos")).alias("_gone")))
-    row = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
-    left = F.filter(F.transform(F.split(text_col, "\n", -1), lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
-                    lambda s: ~F.array_contains(F.coalesce("_gone", F.array().cast("array<int>")), s["i"]))
-    out = df.withColumn("_row", row).join(dropped, F.col("_row") == F.col("row"), "left")
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda s: s["x"]), "\n"))
-    return out.withColumn(text_col, text).select(*df.columns)
+    placed = _placed(df, id_col, text_col, min_chars)
+    return placed.withColumn(text_col, F.pandas_udf(_without_dropped, "string")(F.col(text_col), F.col("_ld_kept"))).select(*df.columns)

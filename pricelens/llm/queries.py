@@ -64,13 +64,8 @@ from d window w as (partition by text_sha256 order by len desc, doc_id nulls las
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that are not blank, how many stay, and a digest of the places that stay."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = line_dedup.decisions(docs)
-    kept = F.array_sort(F.collect_list(F.when(F.col("kept"), F.struct("pos", "line"))))
-    counts = lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("kept").alias("kept_lines"),
-                                         F.sha2(F.array_join(F.transform(kept, lambda x: x["line"]), "\n"), 256).alias("kept_sha256"))
-    return docs.select("doc_id").distinct().join(counts, "doc_id", "left").select(
-        "doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
-        F.coalesce("kept_lines", F.lit(0).cast("long")).alias("kept_lines"), F.coalesce("kept_sha256", F.sha2(F.lit(""), 256)).alias("kept_sha256"))
+    return line_dedup.kept_lines(docs).select(
+        "doc_id", "n_lines", F.size("kept").cast("long").alias("kept_lines"), F.sha2(F.array_join("kept", "\n"), 256).alias("kept_sha256"))
 
 
 ORACLE["op6_line_dedup"] = r"""

@@ -1,7 +1,7 @@
 """Mixing to target weights by soft domain membership (DataFrame operations only).
 
 A table of labelled documents names a domain for some of them. A naive Bayes
-classifier on character counts, fitted with one aggregate per domain, predicts
+classifier on counts of every character, fitted with one aggregate per domain, predicts
 for every document the posterior of each domain. Then nonnegative rates r are
 sought, one per document, so that the expected tokens of the mixture,
 sum(r * tokens * posterior), match a target per domain:
@@ -38,11 +38,14 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.common import written
 
-# Characters a classifier counts: all plain letters, letters
-# with marks, and signs of tables, shouting and code.
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
-MARKED = "äüßéèñó"
-SIGNS = "|!0_"
+# What a classifier counts, naming no alphabet: the bytes of the case-folded text in
+# UTF-8, where ASCII has a feature per character and every other character leaves its
+# lead byte and its continuation bytes; and the characters of each Unicode class.
+# The order (frequent bytes first) is for speed alone: what is counted is taken out.
+_COMMON = b" etaonisrhldcumfpgwybvkxjqz\n"
+ASCII = [bytes([c]) for c in _COMMON] + [bytes([c]) for c in (9, 13, *range(33, 127)) if c not in _COMMON and not 65 <= c <= 90]
+BEYOND = [bytes([c]) for c in (*range(0xC2, 0xF5), *range(0x80, 0xC0))]
+CLASSES = [rf"\p{{{c}}}+" for c in ("Lu", "L", "M", "N", "P", "S")]
 # How many characters' evidence a document counts for, whatever its length: the
 # characters of a text depend on each other, so full evidence would be too sure.
 EVIDENCE = 60.0
@@ -73,15 +76,32 @@ def tokens(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+")).cast("long")
 
 
-N_FEATURES = len(LETTERS + MARKED + SIGNS)
+# Each of the three counts has one feature more, for what is left at its end.
+N_FEATURES = len(ASCII) + len(BEYOND) + len(CLASSES) + 3
+
+
+def _taken_out(text: Column, parts: list, out, size) -> Column:
+    """What `size` loses when `out(text, part)` takes the parts out one after the other; at the end the rest's size."""
+    each = F.array(*[F.lit(p).cast("string") for p in parts])
+    start = F.struct(text.alias("rest"), F.array().cast("array<int>").alias("sizes"))
+    step = lambda acc, p: F.struct(out(acc["rest"], p).alias("rest"), F.array_append(acc["sizes"], size(acc["rest"])).alias("sizes"))
+    after = lambda acc: F.array_append(F.slice(acc["sizes"], 2, len(parts)), size(acc["rest"]))
+    return F.aggregate(each, start, step, lambda acc: F.array_append(
+        F.zip_with(acc["sizes"], after(acc), lambda a, b: (a - b).cast("double")), size(acc["rest"]).cast("double")))
 
 
 def features(text: Column) -> Column:
-    """Counts of the characters, case folded, from the bytes that leaving one out saves."""
-    lower = F.lower(F.coalesce(text, F.lit("")))
-    size = F.octet_length(lower)
-    count = lambda c: (size - F.octet_length(F.replace(lower, F.lit(c), F.lit("")))) / F.lit(float(len(c.encode())))
-    return F.array(*map(count, LETTERS + MARKED + SIGNS))
+    """Counts of the case-folded text's bytes, and of its characters by Unicode class."""
+    whole = F.coalesce(text, F.lit(""))
+    plain = F.octet_length(whole) == F.char_length(whole)
+    lower = F.lower(whole)
+    without = lambda t, p: F.replace(t, p, F.lit(""))
+    ascii_ = F.when(plain, lower).otherwise(F.regexp_replace(lower, r"[^\x00-\x7F]+", ""))
+    beyond = F.regexp_replace(lower, r"[\x00-\x7F]+", "")
+    return F.concat(
+        _taken_out(ascii_, ASCII, without, F.octet_length),
+        F.when(plain, F.array_repeat(F.lit(0.0), len(BEYOND) + 1)).otherwise(_taken_out(beyond, BEYOND, without, F.octet_length)),
+        _taken_out(whole, CLASSES, lambda t, p: F.regexp_replace(t, p, F.lit("")), F.char_length))
 
 
 def _dot(a: Column, b: Column) -> Column:

@@ -328,6 +328,26 @@ def test_mixing_reaches_its_targets(spark, docs, empty):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_mixing_tells_any_alphabets_and_symbols_apart(spark):
+    rng = random.Random(13)
+    words = {"uk": "їжак єдність місто ґрунт вулиця", "ru": "ёлка объезд мышь город улица", "ja": "東京の ひらがな です カタカナ", "zh": "北京的 中文 汉字 我们",
+             "junk": "river ***!! $$$ %%% &&& ###", "plain": "river stone harbor field"}
+    rows = [(i, " ".join(rng.choice(words[d].split()) for _ in range(30)), d) for i, d in enumerate(sorted(words) * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    mix, rates = mixing.fit(df, df.where("doc_id < 60").select("doc_id", "domain"))
+    domains = mix.classifier.domains
+    for r in rates.join(df.select("doc_id", "domain"), "doc_id").collect():
+        assert r[f"p{domains.index(r['domain'])}"] > 0.9
+
+
+def test_mixing_counts_every_character(spark):
+    texts = ["", "Aé ÄЖ 日本\t*\x01٣", "x" * 300, "😀 é́|^\\_"]
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select(mixing.features(F.col("text"))).collect()
+    for t, (f,) in zip(texts, got, strict=True):
+        assert len(f) == mixing.N_FEATURES
+        assert sum(f[:-len(mixing.CLASSES) - 1]) == len(t.lower().encode()) and sum(f[-len(mixing.CLASSES) - 1:]) == len(t)
+
+
 # -- 9 ------------------------------------------------------------------------
 @pytest.mark.parametrize("bin_rows", [8, 4096])
 def test_shards_are_near_equal_and_gapless(spark, docs, empty, bin_rows):

@@ -71,6 +71,17 @@ def test_pipeline_of_an_empty_table(spark):
         assert docs.count() == 0
 
 
+def test_near_dedup_leaves_one_row_of_a_group_whatever_the_ids(spark):
+    group = lambda w: [" ".join([f"{w}{i}" for i in range(80)] + [f"end{w}{k}"]) for k in range(3)]
+    rows = [(None, t) for t in group("a")] + [(7, t) for t in group("b")] + [(7, "alone " * 9), (None, "single " * 9), (None, ""), (None, None)]
+    rows += [(None, group("c")[0]), (9, group("c")[1]), (9, group("c")[1]), (3, group("d")[0]), (3, group("d")[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.dedup_near(spark, docs, SF_SMALL).collect()]
+    of = lambda w: [i for i, t in left if (t or "").startswith(f"{w}0 ")]
+    assert [of("a"), of("b"), of("c"), of("d")] == [[None], [7], [9], [3]]
+    assert len(left) == 8 and {(7, "alone " * 9), (None, "single " * 9), (None, ""), (None, None)} <= set(left)
+
+
 def queries_written(df, name):
     from pricelens.llm.common import written
 

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import bpe, exact_dedup, langid, line_dedup, minhash, mixing, sharding, token_store, topk, toxicity
-from pricelens.llm.common import fold_of, table
+from pricelens.llm import (bpe, exact_dedup, importance, langid, licenses, line_dedup, minhash, mixing, sharding, token_store, topk, toxicity,
+                           variants)
+from pricelens.llm.common import fold_of, table, written
 from pricelens.session import scratch_path
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -171,6 +172,128 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+# DuckDB has no crc32: the table `tab` of its 256 byte steps, and a text's value from them.
+CRC_TABLE = """bits(b, k, c) as (
+ select b, 0, b from range(256) r(b)
+ union all select b, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from bits where k < 8),
+tab as (select list(c order by b) as t from bits where k = 8)"""
+
+
+def crc32_sql(s: str) -> str:
+    byte = f"('0x' || substr(hex(encode({s})), 2 * i + 1, 2))::bigint"
+    return (f"xor(list_reduce(list_transform(range(octet_length(encode({s}))), lambda i: {byte}), "
+            "lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)]), 4294967295::bigint), 4294967295)")
+
+
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS_SQL = rf"regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word, and its near words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants.variant_forms(written(variants.vocabulary(docs), "vocabulary"))
+
+
+ORACLE["op11_spelling_variants"] = f"""
+with recursive {CRC_TABLE},
+r as (
+ select doc_id, run, count(*) as k from (
+  select doc_id, unnest(regexp_extract_all({LOWER_SQL}, '[a-z\\x{{C0}}-\\x{{FF}}]+')) as run from documents)
+ where length(run) >= 7 group by doc_id, run),
+h as (select run, k, {crc32_sql("concat(doc_id, ':', run)")} as h from r, tab),
+w as (
+ select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, k from h),
+v as materialized (select word, cast(sum(k) as bigint) as n from w where length(word) >= 7 group by word having sum(k) >= 2),
+d as materialized (select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as cut from (select word, n, unnest(range(1, length(word) + 1)) as i from v)),
+p as (
+ select a.word, b.word as near, b.n as near_n from d a join d b on a.cut = b.cut and a.i = b.i and a.word <> b.word
+ union select d.word, v.word, v.n from d join v on d.cut = v.word
+ union select v.word, d.word, d.n from d join v on d.cut = v.word),
+g as (
+ select word, count(*) as n_near, first(near order by near_n desc, near) as near, max(near_n) as near_n from p group by word),
+f as materialized (
+ select v.word, v.n, coalesce(n_near, 0) as n_near, case when near_n >= 10 * v.n then near end as form, case when near_n >= 10 * v.n then near_n end as form_n
+ from v left join g using (word)),
+c(word, root, steps) as (
+ select word, word, 0 from f union all select c.word, f.form, steps + 1 from c join f on f.word = c.root where f.form is not null),
+z as (select word, max_by(root, steps) as root from c group by word)
+select word, form, root, n, n_near, form_n from f join z using (word)
+"""
+
+
+@query
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, noisy score and rank of every document towards the benchmark's texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gains = importance.fit(docs, table(spark, sf_dir, "benchmark"))
+    drawn = importance.draw(importance.weigh(docs, gains, keep=["doc_id"]), percent=5, min_words=20, seed=42)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLE["op12_importance"] = f"""
+with recursive {CRC_TABLE},
+a as (
+ select row_number() over () as r, true as raw, doc_id, {WORDS_SQL} as ws from documents
+ union all select row_number() over (), false, null, {WORDS_SQL} from benchmark),
+x as materialized (
+ select r, raw, unnest(flatten([list_transform(range(1, len(ws) - n + 2), lambda i: array_to_string(ws[i:i + n - 1], ' ')) for n in [1, 2, 3]])) as f
+ from a),
+h as (select f, {crc32_sql("f")} % 10000 as bucket from (select distinct f from x), tab),
+y as materialized (select r, raw, bucket from x join h using (f)),
+s as (select bucket, count(*) filter (raw) as s, count(*) filter (not raw) as t from y group by bucket),
+z as (select cast(coalesce(sum(s), 0) as double) as s, cast(coalesce(sum(t), 0) as double) as t from s),
+g as (
+ select bucket, cast(floor(1000 * ln((cast(s.t as double) + 1) * (z.s + 10000) / ((cast(s.s as double) + 1) * (z.t + 10000)))) as bigint) as gain from s, z),
+w as (select r, count(*) as n, cast(sum(gain) as bigint) as weight from y join g using (bucket) where raw group by r),
+o as (
+ select doc_id, len(ws) >= 20 as fit, coalesce(n, 0) as n_features, coalesce(weight, 0) as weight,
+  cast(('0x' || substr(sha256(concat('42:', doc_id)), 1, 8)) as bigint) as h
+ from a left join w using (r) where raw),
+q as (select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))) as bigint) as score from o),
+k as (select *, row_number() over (partition by fit order by score desc, doc_id) as place, count(*) filter (fit) over () as fits from q)
+select doc_id, n_features, weight, score, case when fit and place <= 5 * fits // 100 then place end as rank from k
+"""
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases of every document, and the labels of templates that a block holds."""
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _license_oracle() -> str:
+    """Every block against every template of its scale."""
+    rows = ", ".join(
+        f"('{label}', {sorted(set(licenses.template_words(text)))}, {licenses.needed(text, licenses.THRESHOLD)}, {licenses.scale_of(text)})"
+        for label, text in licenses.TEMPLATES)
+    here = " + ".join(f"len({p})" for p in ("cc", "gpl", "res"))
+    start = lambda phrase: "list_filter(range(1, len(ws) + 1), lambda i: " + " and ".join(
+        f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split())) + ")"
+    cc, gpl, res = map(start, licenses.PHRASES)
+    return f"""
+with a as (select row_number() over () as r, doc_id, {WORDS_SQL} as ws from documents),
+d as (select *, {cc} as cc, {gpl} as gpl, {res} as res from a),
+t(label, t, need, scale) as (values {rows}),
+b as (
+ select r, scale, ws[k * scale + 1:(k + 2) * scale] as b
+ from (select r, ws, scale, unnest(range(0, greatest(1, cast(ceil(len(ws) / scale) as bigint) - 1))) as k from d, (select distinct scale from t))),
+m as (select r, label, len(list_filter(t.t, lambda x: list_contains(b.b, x))) as c, need, len(t.t) as n from b join t using (scale)),
+f as (select r, list(distinct label) as more, max(c / n) as best from m where c >= need group by r),
+e as (
+ select *, list_filter([case when len(cc) > 0 then 'cc-by' end, case when len(gpl) > 0 then 'gpl' end, case when len(res) > 0 then 'reserved' end],
+  lambda x: x is not null) as base, list_concat(list_concat(cc, gpl), res) as places from d left join f using (r))
+select doc_id, len(ws) as n_words, {here} as n_base, list_min(places) - 1 as first_word, list_max(places) - 1 as last_word,
+ array_to_string(list_sort(base), ',') as base_labels, array_to_string(list_sort(list_distinct(list_concat(base, coalesce(more, [])))), ',') as labels,
+ case when {here} > 0 then 1.0::double else coalesce(best, 0.0::double) end as score
+from e
+"""
+
+
+ORACLE["op13_license_scan"] = _license_oracle()
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""

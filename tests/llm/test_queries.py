@@ -15,11 +15,13 @@ EXPECTED = {"op1": ["doc_id", "n_shingles", "component_id", "kept"], "op2": ["do
             "op4": ["doc_id", "held_out", "lang_pred", "score"], "op5": ["doc_id", "start", "n_tokens", "ids_crc32"],
             "op8": ["doc_id", "n_tokens", "posterior", "rate"],
             "op9": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
-            "op10": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]}
+            "op10": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            "op12": ["doc_id", "n_features", "weight", "score", "rank"],
+            "op13": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]}
 
 
-def test_eleven_queries_are_registered():
-    assert sorted(int(m[1]) for q in queries.QUERIES if (m := re.match(r"op(\d+)_", q))) == list(range(1, 11))
+def test_every_operator_has_one_query():
+    assert sorted(int(m[1]) for q in queries.QUERIES if (m := re.match(r"op(\d+)_", q))) == list(range(1, 14))
     assert "pipeline" in queries.QUERIES
 
 

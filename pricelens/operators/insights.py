@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pricelens import constants as C
 from pricelens.functions import columns as X
+from pricelens.session import materialize
 
 MONEY = "decimal(18,2)"
 
@@ -99,18 +100,13 @@ def price_history(df: DataFrame, as_of: str, days: int = 30, names: DataFrame |
                             "on_sale", "effective_price")
 
 
-def price_anomalies(df: DataFrame, lookback_days: int = C.ANOMALY_LOOKBACK_DAYS,
-                    min_obs: int = C.ANOMALY_MIN_OBS, z: float = C.ANOMALY_Z,
-                    flagged_only: bool = True) -> DataFrame:
-    """z-score of each snapshot's effective price against the same product
-    and source over the `lookback_days` days before its day.
+def with_baseline(df: DataFrame, lookback_days: int = C.ANOMALY_LOOKBACK_DAYS, min_obs: int = C.ANOMALY_MIN_OBS) -> DataFrame:
+    """Every snapshot with day, effective_price, and the number, mean and sample std
+    of the effective prices of its product and source over the `lookback_days`
+    days before its day (NULL with fewer than `min_obs`).
 
-    Re-aimed: a statistical baseline, not the isolation forest the feature
-    was announced with. Baseline = exact count / sum / sum of squares per
-    day, summed over a day-range window; std is the sample std; z is NULL
-    with fewer than `min_obs` observations or zero spread. Every snapshot is
-    returned; without enough observations its baseline columns are NULL too.
-    """
+    Baseline = exact count / sum / sum of squares per day, summed over a
+    day-range window."""
     e = _eff(df).withColumn("day", F.to_date("scraped_at"))
     p = F.col("effective_price").cast(MONEY)
     daily = e.groupBy("product_name", "source", "day").agg(
@@ -128,7 +124,21 @@ def price_anomalies(df: DataFrame, lookback_days: int = C.ANOMALY_LOOKBACK_DAYS,
                        mean.alias("baseline_mean"), F.sqrt(var).alias("baseline_std"))
     # One row per (product, source, day) with a baseline, all from aggregates;
     # AQE broadcasts it when its measured bytes allow and splits a hot day otherwise.
-    j = e.join(base, ["product_name", "source", "day"], "left")
+    return e.join(base, ["product_name", "source", "day"], "left")
+
+
+def price_anomalies(df: DataFrame, lookback_days: int = C.ANOMALY_LOOKBACK_DAYS,
+                    min_obs: int = C.ANOMALY_MIN_OBS, z: float = C.ANOMALY_Z,
+                    flagged_only: bool = True) -> DataFrame:
+    """z-score of each snapshot's effective price against the same product
+    and source over the `lookback_days` days before its day (`with_baseline`).
+
+    A statistical baseline; the isolation forest that the feature was announced
+    with is `operators.isolation`, our own too. z is NULL with fewer than `min_obs`
+    observations or zero spread. Every snapshot is returned; without enough
+    observations its baseline columns are NULL too.
+    """
+    j = with_baseline(df, lookback_days, min_obs)
     zs = F.when(F.col("baseline_std") > 0,
                 (F.col("effective_price") - F.col("baseline_mean")) / F.col("baseline_std"))
     out = j.select("id", "product_name", "source", "scraped_at", "effective_price", "baseline_n",
@@ -173,7 +183,7 @@ def fit_price_model(df: DataFrame, cutoff: str, max_iter: int = 10, max_depth: i
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    frame = price_model_frame(df)
+    frame, _ = materialize(price_model_frame(df), "price_frame")  # read by the fit's passes and by the prediction
     feats = ["prev_price", "prev7_price", "dow", "month", "is_marketplace"]
     asm = VectorAssembler(inputCols=feats, outputCol="features")
     gbt = GBTRegressor(featuresCol="features", labelCol="avg_price", maxIter=max_iter,

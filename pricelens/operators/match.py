@@ -6,30 +6,36 @@ excluding pairs already scored; ties broken by marketplace listing id.
 
 Plan (exact, no listing-by-listing pairs):
 1. distinct (category, name) per source - similarity depends on names only;
-2. name pairs by a band join on (category, length bucket, grid cell): only
-   pairs whose lengths can reach the threshold are formed (2*min/(la+lb) is
-   an upper bound of the score), and each category is spread over g x g
-   tasks with g sized from its name counts;
-3. score the surviving name pairs (Arrow UDF or a native column), filter;
-4. keep the first K ids per marketplace name and the best K (name, id) per
-   retailer name, K = k + the most exclusions any retailer listing has, so
-   no true top-k member is lost to the exclusions;
-5. expand to retailer listings, drop excluded pairs, keep the top k.
+2. a top-K threshold join of the names (`simjoin`): each retailer name gets a
+   threshold from a few close names, and only pairs whose letters can reach it
+   are scored (Arrow UDF or a native column);
+3. stored pairs are taken out where they are few and cheap to look up: an id
+   that every listing of a retailer name has been paired with is closed to
+   that name. Per (retailer name, marketplace name) the closed ids usually are
+   the first ones; their number is the frontier, and reading starts behind it.
+   So K = k + the stored pairs of one listing that are not closed
+   to its whole name, which stays k however many runs came before;
+4. the first K open ids per scored pair, the best K (name, id) per retailer
+   name;
+5. expand to retailer listings, drop the remaining stored pairs, keep the top k.
+
+A scorer's value must not exceed 2 * shared letters / total length (the letter bound),
+which holds for both scores of `functions.similarity`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens import constants as C
 from pricelens.functions.similarity import difflib_similarity, length_bound, name_len
+from pricelens.operators.simjoin import Scorer, bounded_pairs, close_pairs, thresholds, with_letters
+from pricelens.operators.simjoin import bucket as _bucket
 from pricelens.session import materialize
 
-Scorer = Callable[[Column, Column], Column]
-
 
 def matchable(listings: DataFrame) -> DataFrame:
     """Listings that take part: the two known sources, price 0 -> NULL."""
@@ -38,11 +44,6 @@ def matchable(listings: DataFrame) -> DataFrame:
                             F.nullif(F.col("price").cast("double"), F.lit(0.0)).alias("price")))
 
 
-def _bucket(length: Column) -> Column:
-    # floor(log2(len)) for len >= 1; empty names get bucket -1.
-    return F.when(length == 0, F.lit(-1)).otherwise(F.floor(F.log2(length)).cast("int"))
-
-
 def name_blocks(listings: DataFrame, grid: int | None = None, pairs_per_cell: int = C.PAIRS_PER_CELL):
     """Distinct (category, source, name) rows of the two sources with the
     grid side g of their category, and an upper bound of the name pairs to
@@ -129,6 +130,93 @@ def max_exclusions(existing: DataFrame | None) -> int:
     return int(row[0] or 0)
 
 
+def _block(category: Column) -> Column:
+    """A category as a key that is never NULL."""
+    return F.coalesce(F.concat(F.lit("="), category), F.lit(""))
+
+
+def closed_ids(lm: DataFrame, existing: DataFrame) -> tuple[DataFrame | None, int]:
+    """Ids that all listings of a retailer name are paired with already:
+    (block, l_name, r_name, ebay_listing_id), None where there are none, and the
+    most stored pairs of one listing beside them. `existing` holds distinct pairs."""
+    b = lm.filter(F.col("source") == C.SOURCE_RETAILER).select(
+        _block(F.col("category")).alias("block"), F.col("product_name").alias("l_name"), F.col("id").alias("bestbuy_listing_id"))
+    e = lm.filter(F.col("source") == C.SOURCE_MARKETPLACE).select(
+        _block(F.col("category")).alias("block"), F.col("product_name").alias("r_name"), F.col("id").alias("ebay_listing_id"))
+    # Only pairs that could be candidates today count: both listings are there, in one category.
+    stored, _ = materialize(existing.join(b, "bestbuy_listing_id").join(e, ["block", "ebay_listing_id"]), "match_stored")
+    by_name = b.groupBy("block", "l_name").agg(F.count(F.lit(1)).alias("listings"))
+    closed = (stored.groupBy("block", "l_name", "r_name", "ebay_listing_id").agg(F.count(F.lit(1)).alias("n"))
+              .join(by_name, ["block", "l_name"]).filter(F.col("n") == F.col("listings")).drop("n", "listings"))
+    closed, n_closed = materialize(closed, "match_closed")
+    rest = (stored.join(closed, ["block", "l_name", "r_name", "ebay_listing_id"], "left_anti")
+            .groupBy("bestbuy_listing_id").count().agg(F.max("count")).first())
+    return (closed if n_closed else None), int(rest[0] or 0)
+
+
+def frontiers(closed: DataFrame, ranked: DataFrame) -> DataFrame:
+    """(block, l_name, r_name): `frontier`, how many of the right name's first ids
+    are closed without a gap, and `beyond`, closed ids behind the gap."""
+    order = Window.partitionBy("block", "l_name", "r_name").orderBy("place")
+    return (closed.join(ranked.select("block", "r_name", "ebay_listing_id", "place"), ["block", "r_name", "ebay_listing_id"])
+            .withColumn("_n", F.row_number().over(order))
+            .groupBy("block", "l_name", "r_name").agg(F.count_if(F.col("_n") == F.col("place")).alias("frontier"),
+                                                      F.count_if(F.col("_n") != F.col("place")).alias("beyond")))
+
+
+def _search_sides(listings: DataFrame, grid: int | None) -> tuple[DataFrame, DataFrame, int]:
+    """Retailer and marketplace names with letters and grid side, written once, and the pairs of their blocks."""
+    names, estimate = name_blocks(listings, grid)
+    lettered = with_letters(names.filter(F.col("product_name").isNotNull()).select(
+        _block(F.col("category")).alias("block"), "source", F.col("product_name").alias("name"), "g"))
+    lettered, _ = materialize(lettered, "match_letters")
+    side = lambda source: lettered.filter(F.col("source") == source).drop("source")
+    return side(C.SOURCE_RETAILER), side(C.SOURCE_MARKETPLACE), estimate
+
+
+def _scored(pairs: DataFrame, scorer: Scorer, estimate: int) -> DataFrame:
+    """Pairs with `similarity`, spread evenly before the CPU-bound score. The
+    task count comes from the number of pairs: an explicit count is not
+    coalesced by AQE, whose byte-based sizing would put many small rows of
+    heavy Python work into a few tasks. Sorting by the marketplace name
+    inside each task lets the scorer reuse its per-name index."""
+    n_tasks = _score_tasks(pairs.sparkSession, estimate)
+    return (pairs.repartition(n_tasks, F.xxhash64("l_name", "r_name")).sortWithinPartitions("r_name")
+            .withColumn("similarity", scorer(F.col("l_name"), F.col("r_name"))))
+
+
+@dataclass(frozen=True)
+class NameSearch:
+    """Scored name pairs that can hold a top-K entry, and what it took."""
+
+    scored: DataFrame        # block, l_name, r_name, similarity
+    pairs_formed: int        # name pairs of all blocks
+    pairs_scored: int        # of these, pairs given to the scorer (seeds included)
+
+
+def search_names(listings: DataFrame, k: int, min_sim: float = C.MIN_SIMILARITY, scorer: Scorer = difflib_similarity,
+                 grid: int | None = None, closed: DataFrame | None = None) -> NameSearch:
+    """Name pairs that reach the `k`-th best open entry of their retailer name."""
+    left, right, estimate = _search_sides(listings, grid)
+    # Entries of a marketplace name that are open to a retailer name.
+    ids = (matchable(listings).filter(F.col("source") == C.SOURCE_MARKETPLACE)
+           .groupBy(_block(F.col("category")).alias("block"), F.col("product_name").alias("r_name")).agg(F.count(F.lit(1)).alias("n")))
+    close, n_close = materialize(close_pairs(left, right), "match_close")
+    seeds, _ = materialize(_scored(close, scorer, n_close), "match_seeds")
+    entries = close.join(ids, ["block", "r_name"])
+    if closed is not None:
+        gone = closed.groupBy("block", "l_name", "r_name").agg(F.count(F.lit(1)).alias("_gone"))
+        entries = (entries.join(gone, ["block", "l_name", "r_name"], "left")
+                   .withColumn("n", F.col("n") - F.coalesce("_gone", F.lit(0))).drop("_gone"))
+    limits = thresholds(seeds, entries, k, min_sim)
+    left = (left.join(limits.withColumnRenamed("l_name", "name"), ["block", "name"], "left")
+            .withColumn("threshold", F.greatest(F.coalesce("threshold", F.lit(min_sim)), F.lit(min_sim))))
+    # The pairs are written before they are scored: the scorer's tasks are sized by their number.
+    pairs, n_pairs = materialize(bounded_pairs(left, right), "match_pairs")
+    scored = _scored(pairs, scorer, n_pairs).filter(F.col("similarity") >= F.col("threshold")).drop("threshold")
+    return NameSearch(scored, estimate, n_close + n_pairs)
+
+
 def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int = C.MAX_CANDIDATES,
                min_sim: float = C.MIN_SIMILARITY, scorer: Scorer = difflib_similarity,
                grid: int | None = None, max_pairs: int | None = None) -> DataFrame:
@@ -139,70 +227,59 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     Columns: category, bestbuy_listing_id, bestbuy_name, bestbuy_price,
     ebay_listing_id, ebay_name, ebay_price, similarity, rank.
     """
-    lm = matchable(listings)
-    ex = None
+    # The five columns of the matching, written once: they are read for the names, the ids, the stored pairs and the expansion.
+    lm, _ = materialize(matchable(listings), "match_listings")
+    ex = closed = None
+    K = k
     if existing is not None:
-        # Stored pairs, written once: read for K and for the exclusion.
-        ex, _ = materialize(existing.select("ebay_listing_id", "bestbuy_listing_id").distinct(),
-                                  "match_existing")
-    K = k + max_exclusions(ex)
-
-    names, estimate = name_blocks(listings, grid)
-    pairs = pairs_in_blocks(names, min_sim)
-    # Spread the name pairs evenly before the CPU-bound score. The task count
-    # comes from the pair estimate: an explicit count is not coalesced by
-    # AQE, whose byte-based sizing would put many small rows of heavy
-    # Python work into a few tasks.
-    n_tasks = _score_tasks(listings.sparkSession, estimate)
-    # Sorting by the marketplace name inside each task lets the scorer reuse
-    # its per-name index across consecutive rows.
-    scored = (pairs.repartition(n_tasks, F.xxhash64("bestbuy_name", "ebay_name"))
-                   .sortWithinPartitions("ebay_name")
-                   .withColumn("similarity", scorer(F.col("bestbuy_name"), F.col("ebay_name")))
-                   .filter(F.col("similarity") >= F.lit(min_sim))
-                   .drop("length_bound"))
-
-    # First K ids per (category, marketplace name): partial WindowGroupLimit
-    # before the shuffle keeps a hot name cheap. (Catalyst inserts it while K
-    # is within spark.sql.optimizer.windowGroupLimitThreshold, 1000 by
-    # default; K is 5 + the most stored pairs of one listing, 50 per run at most.)
+        # Stored pairs, written once: read for what is closed and for the exclusion.
+        ex, _ = materialize(existing.select("ebay_listing_id", "bestbuy_listing_id").distinct(), "match_existing")
+        closed, beside = closed_ids(lm, ex)
+        K = k + beside
+    scored = search_names(lm, K, min_sim, scorer, grid, closed).scored
+
+    # The marketplace names' ids by place. Without stored pairs the first K
+    # are enough: a partial WindowGroupLimit before the shuffle keeps a hot name cheap.
     e = lm.filter(F.col("source") == C.SOURCE_MARKETPLACE).select(
-        F.col("category").alias("ecat"), F.col("product_name").alias("ebay_name"),
+        _block(F.col("category")).alias("block"), F.col("product_name").alias("r_name"),
         F.col("id").alias("ebay_listing_id"), F.col("price").alias("ebay_price"))
-    we = Window.partitionBy("ecat", "ebay_name").orderBy("ebay_listing_id")
-    e_first = e.withColumn("_r", F.row_number().over(we)).filter(F.col("_r") <= K).drop("_r")
-
-    cand = scored.join(e_first, on=[scored.category.eqNullSafe(e_first.ecat),
-                                    scored.ebay_name == e_first.ebay_name]).drop(e_first.ebay_name).drop("ecat")
-    wb = Window.partitionBy("category", "bestbuy_name").orderBy(F.col("similarity").desc(),
-                                                                F.col("ebay_listing_id"))
+    by_id = Window.partitionBy("block", "r_name").orderBy("ebay_listing_id")
+    if closed is None:
+        first = e.withColumn("place", F.row_number().over(by_id)).filter(F.col("place") <= K).drop("place")
+        cand = scored.join(first, ["block", "r_name"])
+    else:
+        touched = closed.select("block", "r_name").distinct()
+        ranked, _ = materialize(
+            e.join(touched, ["block", "r_name"], "left_anti").withColumn("place", F.row_number().over(by_id)).filter(F.col("place") <= K)
+            .unionByName(e.join(touched, ["block", "r_name"], "left_semi").withColumn("place", F.row_number().over(by_id))), "match_places")
+        # From the frontier on, K places and as many more as are closed among them.
+        behind = scored.join(frontiers(closed, ranked), ["block", "l_name", "r_name"], "left")
+        f, more = (F.coalesce(c, F.lit(0)) for c in ("frontier", "beyond"))
+        places = F.explode(F.sequence(f + 1, f + K + more).cast("array<int>"))
+        cand = (behind.withColumn("place", places).join(ranked, ["block", "r_name", "place"])
+                .join(closed, ["block", "l_name", "r_name", "ebay_listing_id"], "left_anti").drop("place", "frontier", "beyond"))
+    wb = Window.partitionBy("block", "l_name").orderBy(F.col("similarity").desc(), F.col("ebay_listing_id"))
     name_top = cand.withColumn("_r", F.row_number().over(wb)).filter(F.col("_r") <= K).drop("_r")
 
     # Expand to retailer listings. The per-name candidate list has at most
-    # K rows per distinct retailer name: a written table, broadcast when its
-    # bytes are within Spark's threshold; in a shuffle join AQE splits a hot name.
+    # K rows per distinct retailer name: written once to the shared checkpoint
+    # folder (the scorer runs once, and a lost executor does not re-score),
+    # broadcast when its bytes are within Spark's threshold; in a shuffle join AQE splits a hot name.
+    name_top, _ = materialize(name_top, "match_name_top")
     b = lm.filter(F.col("source") == C.SOURCE_RETAILER).select(
-        F.col("category").alias("bcat"), F.col("product_name").alias("bname"),
+        "category", _block(F.col("category")).alias("block"), F.col("product_name").alias("l_name"),
         F.col("id").alias("bestbuy_listing_id"), F.col("price").alias("bestbuy_price"))
-    nt = name_top.withColumnRenamed("category", "bcat").withColumnRenamed("bestbuy_name", "bname")
-    # Null-safe category key as two plain columns so both join paths agree.
-    b = b.withColumn("_cn", F.col("bcat").isNull()).withColumn("_ck", F.coalesce("bcat", F.lit("")))
-    nt = nt.withColumn("_cn", F.col("bcat").isNull()).withColumn("_ck", F.coalesce("bcat", F.lit(""))).drop("bcat")
-    # Written once to the shared checkpoint folder: the scorer runs exactly
-    # once, and the lineage of the expansion starts here (a lost executor does
-    # not re-score).
-    nt, _ = materialize(nt, "match_name_top")
-    per_listing = b.join(nt, on=["_cn", "_ck", "bname"]).drop("_cn", "_ck")
-
+    per_listing = b.join(name_top, ["block", "l_name"])
     if ex is not None:
         per_listing = per_listing.join(ex, ["ebay_listing_id", "bestbuy_listing_id"], "left_anti")
-
-    wl = Window.partitionBy("bestbuy_listing_id").orderBy(F.col("similarity").desc(), F.col("ebay_listing_id"))
-    top = (per_listing.withColumn("rank", F.row_number().over(wl)).filter(F.col("rank") <= k)
-                      .withColumn("rank", F.col("rank").cast("bigint")))
-    out = top.select(F.col("bcat").alias("category"), "bestbuy_listing_id",
-                     F.col("bname").alias("bestbuy_name"), "bestbuy_price", "ebay_listing_id",
-                     "ebay_name", "ebay_price", "similarity", "rank")
+        wl = Window.partitionBy("bestbuy_listing_id").orderBy(F.col("similarity").desc(), F.col("ebay_listing_id"))
+        top = per_listing.withColumn("rank", F.row_number().over(wl)).filter(F.col("rank") <= k)
+    else:
+        # Every listing of a name has the name's list, in its order: the rank is known by name.
+        wn = Window.partitionBy("block", "l_name").orderBy(F.col("similarity").desc(), F.col("ebay_listing_id"))
+        top = b.join(name_top.withColumn("rank", F.row_number().over(wn)), ["block", "l_name"])
+    out = top.select("category", "bestbuy_listing_id", F.col("l_name").alias("bestbuy_name"), "bestbuy_price", "ebay_listing_id",
+                     F.col("r_name").alias("ebay_name"), "ebay_price", "similarity", F.col("rank").cast("bigint").alias("rank"))
     return out if max_pairs is None else cap_pairs(out, max_pairs)
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import string
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,7 +16,10 @@ from pyspark.sql import types as T
 from pricelens import constants as C
 from pricelens import schemas as S
 from pricelens.functions.columns import brand_from_title, price_line, unknown_if_blank
+from pricelens.session import materialize
 
+# What a scorer gets of a pair.
+PAIR_FIELDS = ("ebay_title", "bestbuy_title", "ebay_price", "bestbuy_price", "category")
 VERDICT_COLUMNS = ("is_match", "confidence", "canonical_name", "brand", "model_number", "reasoning")
 
 
@@ -87,8 +92,7 @@ def verdict_json(df: DataFrame) -> DataFrame:
 
 
 def score_pairs(pairs: DataFrame, scorer: Callable[[dict], str], attempts: int = 3,
-                text_cols: tuple[str, ...] = ("ebay_title", "bestbuy_title", "ebay_price",
-                                              "bestbuy_price", "category")) -> DataFrame:
+                text_cols: tuple[str, ...] = PAIR_FIELDS) -> DataFrame:
     """Call `scorer(pair_dict) -> verdict JSON text` for each pair on the
     executors (Arrow batches through mapInPandas). A call that raises or whose text is no JSON object is retried,
     up to `attempts` calls; after that the verdict is NULL or the last text, so
@@ -117,6 +121,96 @@ def score_pairs(pairs: DataFrame, scorer: Callable[[dict], str], attempts: int =
     return pairs.mapInPandas(run, out_schema)
 
 
+class RateLimited(Exception):
+    """A scorer raises this when the service asks it to slow down."""
+
+
+def _failure_of(error: Exception) -> str:
+    text = str(error)
+    return "rate_limited" if isinstance(error, RateLimited) or "429" in text or "rate_limit" in text.lower() else "error"
+
+
+class TokenBucket:
+    """At most `rate` calls a second, one at a time, by the given clock."""
+
+    def __init__(self, rate: float | None, clock=time.monotonic, sleep=time.sleep):
+        self.gap, self.clock, self.sleep, self.next = (1.0 / rate if rate else 0.0), clock, sleep, None
+
+    def take(self) -> None:
+        now = self.clock()
+        if self.next is not None and now < self.next:
+            self.sleep(self.next - now)
+            now = self.next
+        self.next = now + self.gap
+
+
+def call_round(pairs: DataFrame, scorer: Callable[[dict], str], attempt: int, text_cols: tuple[str, ...] = PAIR_FIELDS,
+               calls_per_second: float | None = None, tasks: int | None = None) -> DataFrame:
+    """One call per pair: `text` (the answer), or `failure` (rate_limited, error) and its `message`.
+
+    The scorer gets the pair's fields and `attempt`, counted from 1. With
+    `calls_per_second`, each of `tasks` tasks has a token bucket with its share.
+    """
+    fields = [f for f in pairs.schema.fields if f.name not in ("text", "failure", "message")]
+    names = [f.name for f in fields]
+    extra = [T.StructField(c, T.StringType(), True) for c in ("text", "failure", "message")]
+    if calls_per_second:
+        tasks = tasks or int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pairs = pairs.repartition(tasks)
+    rate = calls_per_second / tasks if calls_per_second else None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bucket = TokenBucket(rate)
+        for pdf in batches:
+            rows = []
+            for rec in pdf[list(text_cols)].to_dict("records"):
+                rec = {k: (None if isinstance(v, float) and v != v else v) for k, v in rec.items()} | {"attempt": attempt}
+                bucket.take()
+                try:
+                    answer = scorer(rec)
+                    rows.append((answer if answer is None or isinstance(answer, str) else json.dumps(answer), None, None))
+                except Exception as e:  # noqa: BLE001 - the class decides about a retry
+                    rows.append((None, _failure_of(e), str(e)[:500]))
+            yield pdf.assign(**{c: pd.Series([r[i] for r in rows], index=pdf.index, dtype=object) for i, c in enumerate(("text", "failure", "message"))})
+
+    return pairs.select(*names).mapInPandas(run, T.StructType(fields + extra))
+
+
+def score_rounds(pairs: DataFrame, scorer: Callable[[dict], str], attempts: int = 3, text_cols: tuple[str, ...] = PAIR_FIELDS,
+                 calls_per_second: float | None = None, tasks: int | None = None, waits: tuple[float, ...] = (15, 30, 45),
+                 sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Verdicts of all pairs, by rounds of calls.
+
+    A round calls the scorer once for every open pair and is written, so no
+    answer is asked for twice. An answer that is no valid verdict and a
+    rate-limited call stay open for the next round; any other error closes the pair.
+    After a round with a rate-limited call the next one waits. Pairs that
+    are open after `attempts` rounds are closed as they stand.
+
+    Returns the pairs with `verdict` (the last answer), `attempts`, `outcome`
+    (valid, invalid, rate_limited, error) and `message`.
+    """
+    columns, closed, pending = pairs.columns, [], pairs
+    for attempt in range(1, max(1, attempts) + 1):
+        called, _ = materialize(call_round(pending, scorer, attempt, text_cols, calls_per_second, tasks), f"score_round_{attempt}")
+        outcome = F.when(F.col("failure").isNotNull(), F.col("failure")).when(_strictly_valid("text"), F.lit("valid")).otherwise(F.lit("invalid"))
+        judged, _ = materialize(called.withColumn("outcome", outcome), f"score_outcomes_{attempt}")
+        again = F.col("outcome").isin("invalid", "rate_limited") if attempt < attempts else F.lit(False)
+        closed.append(judged.filter(~again).select(*columns, F.col("text").alias("verdict"), F.lit(attempt).alias("attempts"), "outcome", "message"))
+        pending = judged.filter(again).select(*columns)
+        left = judged.filter(again).agg(F.count(F.lit(1)), F.count_if(F.col("outcome") == "rate_limited")).first()
+        if not left[0]:
+            break
+        if left[1] and waits:
+            sleep(waits[min(attempt, len(waits)) - 1])
+    return functools.reduce(DataFrame.unionByName, closed)
+
+
+def dead_letters(outcomes: DataFrame) -> DataFrame:
+    """The pairs of `score_rounds` without a valid verdict, and why."""
+    return outcomes.filter(F.col("outcome") != "valid")
+
+
 def _strictly_valid(col: str):
     """True for one whole JSON object whose fields have the declared JSON types.
 

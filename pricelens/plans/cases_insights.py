@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from pricelens import constants as C
 from pricelens.fixture import view
 from pricelens.operators import insights as I
+from pricelens.operators.isolation import price_features, price_isolation
 from pricelens.plans import oracle as O
 from pricelens.plans.registry import register
+from pricelens.session import scratch_path
+from pricelens.sources.clustered import read_clustered, write_clustered
 
 STAR = O.with_views("star_listings")
 EFF = f"""e as (select *, {O.eff_sql()} as effective_price from star_listings)"""
@@ -63,6 +68,19 @@ def q_history(spark, sf_dir):
     return I.price_history(star(spark, sf_dir), AS_OF, 30)
 
 
+@register("price_history_by_name", STAR + ", " + EFF + f"""
+select id, product_name, source, scraped_at, price, sale_price, on_sale, effective_price from e
+where product_name = (select min(product_name) from e where scraped_at >= timestamp '{AS_OF}' - interval 400 day and scraped_at <= timestamp '{AS_OF}')
+ and scraped_at >= timestamp '{AS_OF}' - interval 400 day and scraped_at <= timestamp '{AS_OF}'""")
+def q_history_by_name(spark, sf_dir):
+    """One product's snapshots, from the files of the clustered table that may hold them."""
+    root = scratch_path(spark, "clustered")
+    write_clustered(star(spark, sf_dir), root)
+    first, last = "1997-04-27", AS_OF[:10]
+    name = I.price_history(read_clustered(spark, root, first, last), AS_OF, 400).agg(F.min("product_name")).first()[0]
+    return I.price_history(read_clustered(spark, root, first, last, name), AS_OF, 400, name=name)
+
+
 RAW_EFF = O.with_views("raw_listings") + f""", e as (select *, {O.eff_sql()} as effective_price from raw_listings)"""
 
 
@@ -96,6 +114,45 @@ def q_watchlist(spark, sf_dir):
     return I.watchlist(view(spark, sf_dir, "raw_listings"), names)
 
 
+@register("price_isolation")
+def q_isolation(spark, sf_dir):
+    """Isolation scores of all snapshots (our model; held against a plain scorer in the tests)."""
+    return price_isolation(view(spark, sf_dir, "raw_listings"))
+
+
+@register("price_features", RAW_EFF + f""",
+ d as (select product_name, source, cast(scraped_at as date) as day, count(*) as n,
+   sum(cast(effective_price as decimal(18,2))) as s1 from e group by all),
+ b as (select product_name, source, day, sum(n) over w as bn, sum(s1) over w as bs1,
+   lag(cast(s1 as double) / cast(n as double)) over (partition by product_name, source order by day) as prev from d
+   window w as (partition by product_name, source order by datediff('day', date '1970-01-01', day)
+     range between {C.ANOMALY_LOOKBACK_DAYS} preceding and 1 preceding)),
+ m as (select *, case when bn >= {C.ANOMALY_MIN_OBS} then cast(bs1 as double) / cast(bn as double) end as mean from b)
+select e.id, e.product_name, e.source, e.scraped_at, effective_price,
+ coalesce(case when mean > 0 then effective_price / mean end, 1.0) as price_ratio,
+ coalesce(case when price > 0 then 1.0 - effective_price / price end, 0.0) as discount_share,
+ coalesce(case when prev > 0 then effective_price / prev end, 1.0) as step_ratio
+from e left join m on e.product_name = m.product_name and e.source = m.source and cast(e.scraped_at as date) = m.day""")
+def q_price_features(spark, sf_dir):
+    return price_features(view(spark, sf_dir, "raw_listings"))
+
+
+@register("price_model_frame", STAR + ", " + EFF + """,
+ d as (select product_name, source, cast(scraped_at as date) as day, count(*) as n, sum(cast(effective_price as decimal(18,2))) as s
+   from e group by all),
+ f as (select product_name, source, day, cast(s as double) / cast(n as double) as avg_price,
+   lag(cast(s as double) / cast(n as double)) over w as prev_price,
+   cast(sum(s) over (w rows between 7 preceding and 1 preceding) as double)
+    / cast(sum(n) over (w rows between 7 preceding and 1 preceding) as double) as prev7_price,
+   cast(dayofweek(day) + 1 as double) as dow, cast(month(day) as double) as month,
+   case when source = 'ebay' then 1.0::double else 0.0::double end as is_marketplace
+   from d window w as (partition by product_name, source order by day))
+select * from f where prev_price is not null and prev7_price is not null""")
+def q_model_frame(spark, sf_dir):
+    """The lag features that the price model learns from."""
+    return I.price_model_frame(star(spark, sf_dir))
+
+
 @register("price_prediction")
 def q_prediction(spark, sf_dir):
     _, pred = I.fit_price_model(star(spark, sf_dir), CUTOFF)

@@ -123,3 +123,33 @@ from s""")
 def q_rules(spark, sf_dir):
     out = V.rule_verdicts(scored_pairs(spark, sf_dir))
     return out.select("ebay_listing_id", "bestbuy_listing_id", *V.VERDICT_COLUMNS)
+
+
+def trial_scorer(pair: dict) -> str:
+    """A scorer with every kind of answer, for the query and the tests: which one
+    follows from the length of the retailer's title and the attempt."""
+    kind = len(pair["bestbuy_title"]) % 5
+    if kind == 1 and pair["attempt"] < 2:
+        return "no verdict yet"
+    if kind == 2 and pair["attempt"] < 3:
+        raise V.RateLimited("slow down")
+    if kind == 3:
+        raise ValueError("unknown model")
+    if kind == 4:
+        return '{"is_match": true, "confidence": 1.5, "reasoning": "too sure"}'
+    same = pair["ebay_title"] == pair["bestbuy_title"]
+    return '{"is_match": %s, "confidence": %s, "reasoning": "titles compared"}' % (("true", "0.9") if same else ("false", "0.4"))
+
+
+@register("score_rounds", O.with_views("matched_products") + ", " + PAIRS_SQL + """,
+ k as (select *, length(bestbuy_title) % 5 as kind from pairs)
+select ebay_listing_id, bestbuy_listing_id,
+ case when kind = 3 then null when kind = 4 then '{"is_match": true, "confidence": 1.5, "reasoning": "too sure"}'
+  when ebay_title = bestbuy_title then '{"is_match": true, "confidence": 0.9, "reasoning": "titles compared"}'
+  else '{"is_match": false, "confidence": 0.4, "reasoning": "titles compared"}' end as verdict,
+ cast([1, 2, 3, 1, 3][kind + 1] as integer) as attempts, ['valid', 'valid', 'valid', 'error', 'invalid'][kind + 1] as outcome,
+ case when kind = 3 then 'unknown model' end as message from k""")
+def q_score_rounds(spark, sf_dir):
+    """Verdicts of a caller's scorer, with attempts and error classes."""
+    out = V.score_rounds(scored_pairs(spark, sf_dir), trial_scorer, waits=())
+    return out.select("ebay_listing_id", "bestbuy_listing_id", "verdict", "attempts", "outcome", "message")

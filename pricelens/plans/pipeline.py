@@ -25,6 +25,8 @@ from pricelens.operators import quality as Q
 from pricelens.operators import verdicts as V
 from pricelens.operators import warehouse as W
 from pricelens.sources import listings as IO
+from pricelens.sources.batches import fingerprint
+from pricelens.sources.versions import path_exists, publish, read_published
 
 log = logging.getLogger(__name__)
 
@@ -44,39 +46,34 @@ class PipelineConfig:
     max_pairs: int | None = None       # scoring budget of one run; None scores every candidate
     scorer: Callable[[dict], str] | None = None   # pair -> verdict JSON; None = rule scorer
     clean_fallback: str | None = None
+    calls_per_second: float | None = None         # budget of a caller's scorer, over all tasks
+    rate_limit_waits: tuple[float, ...] = (15, 30, 45)   # seconds before the round after a rate-limited one
 
 
 def run_ingest_items(spark: SparkSession, items: DataFrame, listings_target: str, ingest_ts: str,
                      archive_root: str | None = None, sample_path: str | None = None,
                      item_col: str = "item", category_col: str = "category") -> dict:
     """Marketplace ingest: keep the raw items, parse them into listings,
-    append them stamped with the batch time (one job, all or nothing), and
-    optionally write the first 10 parsed rows as a JSON sample."""
+    append them stamped with the batch time (all or nothing; the same items
+    of the same time again add nothing), and optionally write the first 10 parsed
+    rows as a JSON sample."""
     from pricelens.operators.parse import parse_items
 
     archived = IO.archive_raw(items.select(item_col, category_col), archive_root, C.SOURCE_MARKETPLACE,
                               ingest_ts.replace(" ", "T"))
     parsed = parse_items(items, item_col=item_col, category_col=category_col, scraped_at=ingest_ts, keep=())
-    IO.append_listings(parsed, listings_target, id_offset=_next_id(spark, listings_target))
+    added = IO.append_listings(parsed, listings_target, batch_key=f"items:{ingest_ts}:{fingerprint(parsed)}")
     if sample_path:
         IO.write_sample_json(parsed, sample_path, 10, order="sku")
-    return {"archived": archived, "listings_target": listings_target}
+    return {"archived": archived, "listings_target": listings_target, "added": added}
 
 
 def run_ingest_files(spark: SparkSession, paths: list[str], listings_target: str,
                      batch_ts: str | None = None) -> dict:
     """Listing JSON files (missing ones skipped) appended to the table."""
     df = IO.read_listing_json(spark, paths)
-    IO.append_listings(df, listings_target, batch_ts=batch_ts, id_offset=_next_id(spark, listings_target))
-    return {"listings_target": listings_target}
-
-
-def _next_id(spark: SparkSession, target: str) -> int:
-    """First free id of the listing table (one max over the id column)."""
-    if not IO._exists(spark, target):
-        return 1
-    m = IO.read_listings(spark, path=target).agg(F.max("id")).first()[0]
-    return int(m or 0) + 1
+    added = IO.append_listings(df, listings_target, batch_ts=batch_ts, batch_key=f"files:{batch_ts}:{fingerprint(df)}")
+    return {"listings_target": listings_target, "added": added}
 
 
 def run_clean(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dict:
@@ -98,12 +95,14 @@ def run_clean(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dict:
             "output_rows": o_out.get["output_rows"]}
 
 
-def match_verdicts(pairs: DataFrame, scorer: Callable[[dict], str] | None) -> DataFrame:
-    """Verdict JSON per pair: caller's scorer on the executors, else the
-    native rule scorer."""
+def match_verdicts(pairs: DataFrame, scorer: Callable[[dict], str] | None, calls_per_second: float | None = None,
+                   waits: tuple[float, ...] = (15, 30, 45)) -> DataFrame:
+    """Verdict JSON per pair, with attempts and outcome: caller's scorer on the
+    executors in rounds of calls, else the native rule scorer."""
     if scorer is None:
-        return V.verdict_json(V.rule_verdicts(pairs)).select(*pairs.columns, "verdict")
-    return V.score_pairs(pairs, scorer)
+        ruled = V.verdict_json(V.rule_verdicts(pairs)).select(*pairs.columns, "verdict")
+        return ruled.select("*", F.lit(1).alias("attempts"), F.lit("valid").alias("outcome"), F.lit(None).cast("string").alias("message"))
+    return V.score_rounds(pairs, scorer, calls_per_second=calls_per_second, waits=waits)
 
 
 def run_matcher(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dict:
@@ -114,7 +113,7 @@ def run_matcher(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dic
     are tried again next run.
     """
     target = cfg.matches_path or f"{cfg.out_root}/matched_products"
-    existing = spark.read.schema(S.MATCHED_PRODUCT).parquet(target) if IO._exists(spark, target) else None
+    existing = spark.read.schema(S.MATCHED_PRODUCT).parquet(target) if path_exists(spark, target) else None
     cands = M.candidates(raw, existing)
     pairs = M.to_pairs(cands if cfg.max_pairs is None else M.cap_pairs(cands, cfg.max_pairs))
     # The scorer may be costly: write the pairs once so retries never re-run
@@ -122,10 +121,12 @@ def run_matcher(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dic
     pairs_path = f"{cfg.out_root}/match_runs/run_ts={cfg.run_ts.replace(' ', 'T')}/pairs"
     pairs.write.mode("overwrite").parquet(pairs_path)
     pairs = spark.read.parquet(pairs_path)
-    scored = match_verdicts(pairs, cfg.scorer)
+    scored = match_verdicts(pairs, cfg.scorer, cfg.calls_per_second, cfg.rate_limit_waits)
     verdict_path = pairs_path.rsplit("/", 1)[0] + "/verdicts"
     scored.write.mode("overwrite").parquet(verdict_path)
     scored = spark.read.parquet(verdict_path)
+    # Pairs without a verdict are kept with the reason; they are tried again next run.
+    V.dead_letters(scored).write.mode("overwrite").parquet(pairs_path.rsplit("/", 1)[0] + "/dead_letters")
 
     valid, _ = V.validate_verdicts(scored)
     IO.append_matches(valid, target, cfg.run_ts)
@@ -134,30 +135,30 @@ def run_matcher(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dic
 
 
 def run_warehouse(spark: SparkSession, raw: DataFrame, matches: DataFrame | None, cfg: PipelineConfig) -> dict:
-    """Staging copies, dims, then the fact from the written dims."""
+    """Staging copies, their views, then the star, each published as one version."""
     root = f"{cfg.out_root}/warehouse"
-    counts = {"raw_listings": IO.replace_table(IO.stage_listings(raw), f"{root}/raw_listings")}
+    staged = {"raw_listings": IO.stage_listings(raw)}
+    if matches is not None:
+        staged["raw_matched_products"] = IO.stage_matched(matches)
+    # Staging copies first: an empty feed leaves its last version in place.
+    counts = publish(spark, root, staged, keep_if_empty=tuple(staged))
+    current = lambda name: read_published(spark, root, name)
+    loads = {"stg_listings": W.stg_listings(current("raw_listings"))}
     if matches is not None:
-        counts["raw_matched_products"] = IO.replace_table(IO.stage_matched(matches), f"{root}/raw_matched_products")
-        staged = W.stg_matched(spark.read.parquet(f"{root}/raw_matched_products"))
-        counts["stg_matched"] = IO.replace_table(staged, f"{root}/stg_matched")
-    stg = W.stg_listings(spark.read.parquet(f"{root}/raw_listings"))
-    counts["stg_listings"] = IO.replace_table(stg, f"{root}/stg_listings")
-    stg = spark.read.parquet(f"{root}/stg_listings")
-    dims = {"dim_product": W.dim_product(stg), "dim_source": W.dim_source(stg),
-            "dim_time": W.dim_time(stg), "dim_category": W.dim_category(stg)}
-    for name, df in dims.items():
-        counts[name] = IO.replace_table(df, f"{root}/{name}", skip_if_empty=False)
+        loads["stg_matched"] = W.stg_matched(current("raw_matched_products"))
+    counts |= publish(spark, root, loads, keep_if_empty=tuple(loads))
+    stg = current("stg_listings")
     # The dims come from this stg, so the fact needs no join against them
-    # (see `fact_from_staging`): the listings are not shuffled.
-    fact = W.fact_from_staging(stg)
-    counts["fact_price_snapshot"] = IO.replace_table(fact, f"{root}/fact_price_snapshot", skip_if_empty=False)
-    return counts
+    # (see `fact_from_staging`): the listings are not shuffled. Dims and fact swap
+    # in one step: no reader sees a fact beside dims of another load.
+    return counts | publish(spark, root, {
+        "dim_product": W.dim_product(stg), "dim_source": W.dim_source(stg), "dim_time": W.dim_time(stg),
+        "dim_category": W.dim_category(stg), "fact_price_snapshot": W.fact_from_staging(stg)})
 
 
 def run_checks(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     root = f"{cfg.out_root}/warehouse"
-    t = {n: spark.read.parquet(f"{root}/{n}") for n in
+    t = {n: read_published(spark, root, n) for n in
          ("dim_product", "dim_source", "dim_time", "dim_category", "fact_price_snapshot")}
     return Q.union_checks(
         Q.check_unique(t["dim_product"], "product_key", "dim_product"),

@@ -7,12 +7,17 @@ driver. Schemas are declared (`pricelens.schemas`), never inferred.
 from __future__ import annotations
 
 import logging
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens import schemas as S
+from pricelens.sources.batches import write_batch
+from pricelens.sources.json_arrays import read_json_arrays
+from pricelens.sources.versions import path_exists, publish, published, read_published
 
 log = logging.getLogger(__name__)
 
@@ -57,8 +62,8 @@ def read_listings(spark: SparkSession, path: str | None = None, jdbc: dict | Non
     taken from `id_bounds` or from one min/max query.
     """
     if path is not None:
-        # Files of batch appends lie at the root, those of landed micro-batches
-        # in folders landing_batch=<id>: the recursive look-up reads both.
+        # Rows with ids of their own lie at the root, batches in folders
+        # batch=<number>: the recursive look-up reads both.
         files = spark.read.schema(S.RAW_LISTING).option("recursiveFileLookup", True)
         return conform(files.parquet(path), S.RAW_LISTING)
     if jdbc is None:
@@ -72,11 +77,10 @@ def read_listings(spark: SparkSession, path: str | None = None, jdbc: dict | Non
     return conform(spark.read.format("jdbc").options(**opts).load(), S.RAW_LISTING)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+def _bytes(size: str) -> int:
+    """A size setting ("134217728b", "128m", "3000") in bytes."""
+    number, unit = re.fullmatch(r"(\d+)\s*([a-z]*)", size.strip().lower()).groups()
+    return int(number) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit[:1]]
 
 
 def read_listing_json(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -85,13 +89,23 @@ def read_listing_json(spark: SparkSession, paths: list[str]) -> DataFrame:
     with an offset are normalised to UTC."""
     present = []
     for p in paths:
-        if _exists(spark, p):
+        if path_exists(spark, p):
             present.append(p)
         else:
             log.warning("listing file not found, skipped: %s", p)
     if not present:
         return spark.createDataFrame([], S.LISTING_JSON)
-    df = spark.read.schema(S.LISTING_JSON).option("multiLine", True).json(present)
+    # Spark's reader takes a whole file in one task; a file beyond one split is cut.
+    largest = spark.read.format("binaryFile").load(present).agg(F.max("length")).first()[0]
+    if (largest or 0) > _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
+        df = read_json_arrays(spark, present, S.LISTING_JSON)
+    else:
+        df = spark.read.schema(S.LISTING_JSON).option("multiLine", True).json(present)
+    return listing_records(spark, df)
+
+
+def listing_records(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Listing records as read from JSON, with defaults and times in UTC."""
     tz = spark.conf.get("spark.sql.session.timeZone")
     ts = F.convert_timezone(F.lit(tz), F.lit("UTC"), F.to_timestamp("scraped_at").cast("timestamp_ntz"))
     return df.select(
@@ -102,18 +116,24 @@ def read_listing_json(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def append_listings(df: DataFrame, target: str, batch_ts=None, id_offset: int = 0,
-                    fmt: str = "parquet") -> None:
+def append_listings(df: DataFrame, target: str, batch_ts=None, id_offset: int | None = None,
+                    fmt: str = "parquet", batch_key: str | None = None) -> int | None:
     """Append a batch to the listing table in one job (the commit protocol
     publishes all task files together or none).
 
     `batch_ts` stamps every row (the ingest time); when None the rows keep
-    their own scraped_at. Rows without an id get `id_offset` + a per-row id
-    unique within the batch (deterministic for a deterministic input).
+    their own scraped_at. Rows without an id get one from the batch ledger
+    (`sources.batches`): unique in the table, and the same again when the batch
+    named `batch_key` is replayed, which adds nothing. Without a key the
+    batch is new at every call. With `id_offset` the caller numbers the rows himself,
+    from there on. Returns the rows added where the ledger was asked.
     """
     out = df
     if batch_ts is not None:
         out = out.withColumn("scraped_at", F.lit(batch_ts).cast("timestamp_ntz"))
+    if "id" not in out.columns and id_offset is None:
+        rows = conform(out.withColumn("id", F.lit(0)), S.RAW_LISTING)
+        return write_batch(rows, target, batch_key or f"call:{uuid.uuid4().hex}", fmt)
     if "id" not in out.columns:
         out = out.withColumn("id", F.monotonically_increasing_id() + F.lit(id_offset))
     conform(out, S.RAW_LISTING).write.mode("append").format(fmt).save(target)
@@ -228,13 +248,27 @@ WAREHOUSE_TABLES = ("raw_listings", "raw_matched_products", "stg_listings", "stg
                     "dim_time", "dim_category", "fact_price_snapshot")
 
 
+def reload_published(listings: DataFrame, root: str) -> dict[str, int]:
+    """`reload_tables` for a root of published versions: the emptied verdict
+    table and the new listings become current in one step, or neither does."""
+    spark = listings.sparkSession
+    return publish(spark, root, {"matched_products": spark.createDataFrame([], S.MATCHED_PRODUCT),
+                                 "raw_listings": conform(listings, S.RAW_LISTING)})
+
+
 def register_warehouse_views(spark: SparkSession, root: str) -> list[str]:
-    """Temp views over the written warehouse tables so they can be queried
-    with SQL by name; tables not written yet are skipped."""
+    """Temp views over the warehouse tables so they can be queried with SQL by
+    name: the published ones, and those written as plain folders; tables not
+    written yet are skipped."""
     names = []
+    current = set(published(spark, root))
     for name in WAREHOUSE_TABLES:
+        if name in current:
+            read_published(spark, root, name).createOrReplaceTempView(name)
+            names.append(name)
+            continue
         path = f"{root.rstrip('/')}/{name}"
-        if _exists(spark, path):
+        if path_exists(spark, path):
             spark.read.parquet(path).createOrReplaceTempView(name)
             names.append(name)
     return names

@@ -10,11 +10,12 @@ and stops, which fits a scheduled run; without it the query keeps running.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pricelens import schemas as S
+from pricelens.sources.batches import write_batch
 from pricelens.sources.listings import conform
 
 
@@ -26,31 +27,19 @@ def _to_listing(df: DataFrame, tz: str) -> DataFrame:
         F.coalesce(F.col("raw_payload"), F.lit("{}")).alias("raw_payload"))
 
 
-def batch_row_id(batch_id: int) -> Column:
-    mono = F.monotonically_increasing_id()
-    part = F.shiftright(mono, 33)
-    row = mono.bitwiseAND(F.lit((1 << 33) - 1))
-    if not 0 <= batch_id < 1 << 20:
-        raise ValueError(f"batch {batch_id} does not fit the 20 bits of a landed id")
-    fits = (part < 1 << 12) & (row < 1 << 31)
-    packed = F.lit(batch_id << 43) + F.shiftleft(part, 31) + row
-    return F.when(fits, packed).otherwise(F.raise_error("a landed batch has too many tasks or rows for its ids")).cast("bigint")
-
-
-def write_landing_batch(batch: DataFrame, target: str, batch_id: int) -> None:
-    """Write one micro-batch into its own folder `landing_batch=<id>` with
-    overwrite: foreachBatch may replay a batch after a failure, and the
-    replay then rewrites the same rows instead of appending them twice."""
-    out = conform(batch.withColumn("id", batch_row_id(batch_id)), S.RAW_LISTING)
-    out.write.mode("overwrite").parquet(f"{target.rstrip('/')}/landing_batch={batch_id}")
+def write_landing_batch(batch: DataFrame, target: str, batch_id: int, stream: str = "") -> int:
+    """Write one micro-batch of the stream named `stream`: foreachBatch may
+    replay a batch after a failure, and the replay adds nothing
+    (`sources.batches`). Returns the rows added."""
+    rows = conform(batch.withColumn("id", F.lit(0)), S.RAW_LISTING)
+    return write_batch(rows, target, f"landing:{stream}:{batch_id}")
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, target: str, checkpoint: str,
                    available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the landing query. Ids pack (batch id, task partition, row in
-    partition) into one bigint - 20, 12 and 31 bits - so they are unique
-    across batches; a replayed batch (after a failure) writes the same ids
-    again, and a batch that does not fit fails instead of repeating ids."""
+    """Start the landing query. A micro-batch is a batch of the table's ledger,
+    keyed by the checkpoint folder and the micro-batch number: its ids meet
+    those of no other batch, landed or appended, and a replay adds nothing."""
     reader = spark.readStream.schema(S.LISTING_JSON).option("multiLine", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -58,7 +47,7 @@ def landing_stream(spark: SparkSession, landing_dir: str, target: str, checkpoin
     stream = _to_listing(reader.json(landing_dir), tz)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_landing_batch(batch, target, batch_id)
+        write_landing_batch(batch, target, batch_id, stream=checkpoint)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -51,6 +51,8 @@ def test_brand_rule_matches_python_regex(spark, text):
 def test_library_never_pulls_results_to_driver():
     offenders = []
     for p in (ROOT / "pricelens").rglob("*.py"):
+        if "llm" in p.relative_to(ROOT).parts:  # has a list of its own beside its tests
+            continue
         for i, line in enumerate(p.read_text().splitlines(), 1):
             if ".toPandas(" in line or (".collect()" in line and "a dozen rows" not in line):
                 offenders.append(f"{p.name}:{i}: {line.strip()}")

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 
 from pricelens.fixture import view
+from pricelens.functions import similarity as SIM
 from pricelens.operators import match as M
+from pricelens.operators import simjoin as SJ
 
 
 def brute(listings, existing, k=5, min_sim=0.25):
@@ -118,3 +120,61 @@ def test_adaptive_grid_equals_single_cell(spark, small):
     one = {tuple(r) for r in M.name_pairs(raw, grid=1).collect()}
     many = {tuple(r) for r in M.name_pairs(raw, pairs_per_cell=7).collect()}   # forces g > 1
     assert one == many and len(one) > 0
+
+
+def _names(rows, source):
+    return {(r["category"], r["product_name"]) for r in rows if r["source"] == source}
+
+
+def test_letter_bound_is_never_below_either_score(spark):
+    rnd = random.Random(4)
+    names = ["", "a", "İstanbul", "ΑΣ", "日本 tv", "aab" * 80] + ["".join(rnd.choice("abcd é1 ") for _ in range(rnd.randrange(1, 25))) for _ in range(60)]
+    df = SJ.with_letters(spark.createDataFrame([(n,) for n in names], "name string"))
+    side = lambda s: df.select(*[F.col(c).alias(f"{s}_{c}") for c in df.columns])
+    pairs = side("l").join(side("r"), F.lit(True)).select(
+        "l_name", "r_name", SJ.letter_bound("l", "r").alias("exact"), SJ.sketch_bound("l", "r").alias("sketch"),
+        SIM.difflib_similarity(F.col("l_name"), F.col("r_name")).alias("difflib"), SIM.edit_similarity(F.col("l_name"), F.col("r_name")).alias("edit"))
+    for r in pairs.collect():
+        sm = SequenceMatcher(None, r.l_name.lower(), r.r_name.lower(), autojunk=False)
+        assert r.exact == pytest.approx(sm.quick_ratio()) and r.sketch >= r.exact >= r.difflib - 1e-12 and r.exact >= r.edit - 1e-12
+
+
+def test_pruned_search_scores_few_pairs_and_loses_none(spark):
+    rnd = random.Random(6)
+    words = ["small", "red", "old", "ring", "bolt", "gear", "widget", "gizmo"]
+    rows = [(i, f"{rnd.choice(words)} {rnd.choice(words)} {rnd.randrange(400)}", "bestbuy" if i % 2 else "ebay", rnd.choice(["x", "x", None]), 1.0)
+            for i in range(900)]
+    rows += [(1000 + i, rows[i][1], rows[i][2], rows[i][3], 2.0) for i in range(0, 400, 3)]
+    df = spark.createDataFrame(rows, "id long, product_name string, source string, category string, price double")
+    dicts = [r.asDict() for r in df.collect()]
+    _check(_spark_result(M.candidates(df, None)), brute(dicts, set()))
+    _check(_spark_result(M.candidates(df, None, grid=3)), brute(dicts, set()))
+    found = M.search_names(df, 5)
+    assert found.pairs_scored < 0.6 * found.pairs_formed
+
+
+def test_ten_runs_read_the_same_depth(spark, monkeypatch):
+    """Every run stores its pairs; the next reads behind them, K stays 5."""
+    rnd = random.Random(8)
+    rows = [(i, rnd.choice(["tv a", "tv b", "radio"]), "bestbuy" if i % 9 == 0 else "ebay", "c", 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, product_name string, source string, category string, price double")
+    dicts = [r.asDict() for r in df.collect()]
+    depths, real = [], M.search_names
+    monkeypatch.setattr(M, "search_names", lambda listings, k, *a: (depths.append(k), real(listings, k, *a))[1])
+    excluded = set()
+    for _ in range(10):
+        ex = spark.createDataFrame(sorted(excluded), "ebay_listing_id long, bestbuy_listing_id long")
+        got = _spark_result(M.candidates(df, ex))
+        _check(got, brute(dicts, excluded))
+        excluded |= {(e, b) for b, e in got}
+    assert depths == [5] * 10
+
+
+def test_frontier_with_gaps(spark):
+    rows = [(i, "tv", "bestbuy" if i < 3 else "ebay", None, 1.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, product_name string, source string, category string, price double")
+    dicts = [r.asDict() for r in df.collect()]
+    everyone = {(e, b) for b in range(3) for e in (3, 4, 6, 9, 10, 30)}
+    for excluded in (everyone, everyone | {(5, 0), (7, 1), (8, 1), (11, 2), (999, 0)}):
+        ex = spark.createDataFrame(sorted(excluded), "ebay_listing_id long, bestbuy_listing_id long")
+        _check(_spark_result(M.candidates(df, ex)), brute(dicts, excluded))

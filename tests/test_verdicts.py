@@ -70,3 +70,54 @@ def test_unparsable_verdict_is_retried(spark):
 
     pairs = spark.createDataFrame([("a", "b", 1.0, 2.0, "c")], "ebay_title string, bestbuy_title string, ebay_price double, bestbuy_price double, category string")
     assert V.score_pairs(pairs, scorer).first()["verdict"] == '{"is_match":true}'
+
+
+def test_rounds_retry_by_class_and_keep_dead_letters(spark):
+    from pricelens.plans.cases_verdicts import trial_scorer
+
+    titles = ["fives", "sixsix", "sevenns", "eighteig", "nineninen"]  # lengths 5..9: kinds 0..4
+    pairs = spark.createDataFrame([(i, 10 + i, t, t, None, 1.0, None) for i, t in enumerate(titles)],
+                                  "ebay_listing_id long, bestbuy_listing_id long, ebay_title string, bestbuy_title string, "
+                                  "ebay_price double, bestbuy_price double, category string")
+    waited = []
+    out = V.score_rounds(pairs, trial_scorer, sleep=waited.append)
+    got = {r.ebay_listing_id: (r.attempts, r.outcome, r.message) for r in out.collect()}
+    assert got == {0: (1, "valid", None), 1: (2, "valid", None), 2: (3, "valid", None), 3: (1, "error", "unknown model"), 4: (3, "invalid", None)}
+    assert waited == [15, 30]
+    assert sorted(r.ebay_listing_id for r in V.dead_letters(out).collect()) == [3, 4]
+    limited = V.score_rounds(pairs, trial_scorer, attempts=2, waits=())
+    assert {r.ebay_listing_id: r.outcome for r in limited.collect()}[2] == "rate_limited"
+
+
+def test_every_round_calls_each_open_pair_once(spark, tmp_path):
+    def counted(pair):
+        with open(f"{tmp_path}/calls", "a") as f:
+            f.write(f"{pair['ebay_title']} {pair['attempt']}\n")
+        return "none"
+
+    pairs = spark.createDataFrame([(f"t{i}", "b", None, None, None) for i in range(6)],
+                                  "ebay_title string, bestbuy_title string, ebay_price double, bestbuy_price double, category string").repartition(3)
+    out = V.score_rounds(pairs, counted)
+    assert out.count() == 6 and out.filter("outcome = 'invalid' and attempts = 3").count() == 6
+    calls = open(f"{tmp_path}/calls").read().splitlines()
+    assert sorted(calls) == sorted(f"t{i} {a}" for i in range(6) for a in (1, 2, 3))
+    assert V.score_rounds(pairs.limit(0), counted).count() == 0
+
+
+def test_token_bucket_spaces_its_calls():
+    now, slept = [0.0], []
+
+    def sleep(s):
+        slept.append(s)
+        now[0] += s
+
+    bucket = V.TokenBucket(2.0, clock=lambda: now[0], sleep=sleep)
+    for _ in range(4):
+        bucket.take()
+    assert slept == [0.5, 0.5, 0.5]
+    now[0] += 10
+    bucket.take()
+    assert len(slept) == 3
+    free = V.TokenBucket(None, clock=lambda: now[0], sleep=sleep)
+    free.take(), free.take()
+    assert len(slept) == 3

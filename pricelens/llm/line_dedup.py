@@ -28,10 +28,9 @@ their places once, by document.
 Defined results: lines end at line feeds; a null text has no lines and stays
 null, an empty text is one blank line; blank lines are kept; lines of fewer
 than `min_chars` characters only count as duplicates when equal; the earliest
-of equal rows is fixed by id, then text hash, null ids last; documents with
-equal ids and texts have their repeated lines dropped from all but one, or from
-one copy's later lines where the rows cannot be told apart; further columns are
-ignored by `decisions`.
+of equal rows is fixed by id, then text hash, null ids last; of rows with equal
+ids and texts one keeps lines (such tables are written once more); further
+columns are ignored by `decisions`.
 """
 
 from __future__ import annotations
@@ -223,8 +222,17 @@ def kept_places(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 def _placed(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """`df` with `_ld_row` and `_ld_kept`."""
     places = written(kept_places(df, id_col, text_col, min_chars), "ld_places")
-    return (df.withColumn("_ld_row", _row(id_col, text_col))
-            .join(places.select(F.col("row").alias("_ld_row"), F.col("kept").alias("_ld_kept")), "_ld_row", "left"))
+    rows = df.withColumn("_ld_row", _row(id_col, text_col))
+    places = places.select(F.col("row").alias("_ld_row"), F.col("kept").alias("_ld_kept"))
+    repeated = written(rows.groupBy("_ld_row").count().where("count > 1").select("_ld_row"), "ld_repeated")
+    if repeated.isEmpty():
+        return rows.join(places, "_ld_row", "left")
+    # Rows that cannot be told apart have one identity: its first row alone keeps lines.
+    rows = written(rows.withColumn("_ld_at", F.monotonically_increasing_id()), "ld_rows")
+    first = rows.select("_ld_row", "_ld_at").join(repeated, "_ld_row", "left_semi").groupBy("_ld_row").agg(F.min("_ld_at").alias("_ld_first"))
+    kept = F.when(F.col("_ld_first").isNull() | (F.col("_ld_first") == F.col("_ld_at")), F.col("_ld_kept"))
+    return (rows.join(places, "_ld_row", "left").join(first, "_ld_row", "left")
+            .withColumn("_ld_kept", kept).drop("_ld_at", "_ld_first"))
 
 
 def _is_blank(line: str) -> bool:

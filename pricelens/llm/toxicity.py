@@ -18,7 +18,8 @@ bounded: POSITIVES confirmed examples and UNLABELLED texts, drawn by a hash.
 Scoring finds the features with one automaton over each whole text.
 
 Defined results: a null or empty text has no features and gets the score of the
-intercept; without positive examples the score is 0 everywhere; occurrences
+intercept; without positive examples the score is 0 everywhere; where no
+feature tells positives from the rest, it is the prior; occurrences
 of a feature beyond the third add nothing; result columns replace columns
 of the same names; labels, languages and sources are never read by `score`.
 """
@@ -40,9 +41,12 @@ from pricelens.llm.common import map_arrow, written
 # The bound of the training sample.
 POSITIVES = 3000
 UNLABELLED = 6000
-# Features at most, and how much more frequent they are in positives.
+# Features at most, and how much more frequent they are in positives: LIFT times, or half-way to 1 / prior, the most
+# that a feature can reach against unlabelled texts that hold their share of positives.
 FEATURES = 2048
 LIFT = 3.0
+# The prior is kept this far from 0 and 1, where its log-odds end.
+PRIOR_EDGE = 1e-4
 PREFIXES = (4, 5, 6)
 # Occurrences that are told apart: one, two, three or more.
 LEVELS = 3
@@ -78,11 +82,12 @@ def _candidate_features(sample: DataFrame) -> DataFrame:
     return found.groupBy("feature").agg(F.sum("positive").alias("p"), F.sum(1 - F.col("positive")).alias("u"))
 
 
-def choose_features(sample: DataFrame, n_pos: int, n_unl: int, most: int = FEATURES) -> list[str]:
+def choose_features(sample: DataFrame, n_pos: int, n_unl: int, most: int = FEATURES, prior: float = 0.0) -> list[str]:
+    lift = min(LIFT, (1 + 1 / max(prior, PRIOR_EDGE)) / 2)
     counts = _candidate_features(sample)
     rate_p, rate_u = (F.col("p") + 0.5) / (n_pos + 1), (F.col("u") + 0.5) / (n_unl + 1)
     least = max(2, round(0.004 * n_pos))
-    top = (counts.where((F.col("p") >= least) & (rate_p >= LIFT * rate_u))
+    top = (counts.where((F.col("p") >= least) & (rate_p >= lift * rate_u))
            .withColumn("gain", F.col("p") * F.log(rate_p / rate_u)).orderBy(F.col("gain").desc(), "feature").limit(most))
     return sorted(r["feature"] for r in top.select("feature").collect())
 
@@ -163,10 +168,13 @@ def fit(positives: DataFrame, unlabelled: DataFrame, prior: float, id_col: str =
     sizes = {r[0]: r[1] for r in sample.groupBy("positive").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return None
-    features = tuple(choose_features(sample, sizes[1], sizes[0]))
+    prior = min(max(prior, PRIOR_EDGE), 1 - PRIOR_EDGE)
+    features = tuple(choose_features(sample, sizes[1], sizes[0], prior=prior))
+    if not features:
+        return Toxicity((), (), float(np.log(prior / (1 - prior))))
     rows = sample.select("positive", "words").mapInArrow(_features_of(features), "positive int, hits array<int>").collect()
     split = [[np.array(r["hits"], dtype=np.int64) for r in rows if r["positive"] == k] for k in (1, 0)]
-    weights, intercept = fit_pu(*split, LEVELS * len(features), min(max(prior, 1e-4), 0.5))
+    weights, intercept = fit_pu(*split, LEVELS * len(features), prior)
     return Toxicity(features, tuple(weights.tolist()), intercept)
 
 

@@ -1,12 +1,15 @@
 """Small fixtures against brute force: nulls, blanks, ties, repeats, empty tables, clashing columns."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -134,6 +137,19 @@ def test_toxicity_finds_planted_words(spark, docs, empty):
     assert toxicity.fit(df.where("false"), df, 0.1) is None and toxicity.score(docs, None).first()["score"] == 0.0
 
 
+def test_toxicity_without_features_or_with_a_high_prior(spark):
+    rng = random.Random(21)
+    plain = ["stone", "river", "field", "cloud"]
+    rows = [(i, " ".join(rng.choice(plain) for _ in range(20)) + (f" vileword{i % 7}" if i % 5 < 3 else ""), int(i % 5 < 3)) for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df.where("toxic = 1 and doc_id < 250").select("doc_id", "text"), df.select("doc_id", "text"), 0.6)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    assert all((got[i] >= 0.7) == bool(y) for i, _, y in rows)
+    same = spark.createDataFrame([(i, "one and the same") for i in range(30)], "doc_id long, text string")
+    model = toxicity.fit(same, same, 0.6)
+    assert model.features == () and toxicity.score(same, model).agg(F.min("score"), F.max("score")).first() == pytest.approx((0.6, 0.6))
+
+
 # -- 3 ------------------------------------------------------------------------
 def brute_exact(rows):
     groups = {}
@@ -231,6 +247,41 @@ def test_token_store_round_trip(spark, docs, empty):
     assert token_store.read(none, docs.select("doc_id").distinct()).count() == 0
 
 
+def test_token_store_where_one_key_holds_a_third(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rows = [(None, f"hot row {i % 50} of the null key") for i in range(150)] + [(i, f"row {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    store = token_store.write(df, path, scratch_path(spark, "store-test"), shard_bytes=300)
+    got = sorted(token_store.read(store, df.select("doc_id").distinct()).collect(), key=lambda r: r["start"])
+    ids = lambda t: np.array([*library.encode(t, add_special_tokens=False).ids, 0], dtype="<u4").tobytes()
+    assert sorted(((r["key"] is None, r["key"]), bytes(r["ids"])) for r in got) == sorted(((k is None, k), ids(t)) for k, t in rows)
+    assert [r["start"] for r in got] == np.cumsum([0, *(r["n_tokens"] for r in got[:-1])]).tolist()
+    entries = [f for f in os.listdir(store.path.removeprefix("file:")) if f.startswith("shard-")]
+    assert len(entries) > 8  # the null key alone fills several shards
+    runs = sum(token_store.Index(store.path, p).runs["docs"].sum() for p in range(store.parts))
+    assert runs == 450
+
+
+def test_index_part_with_equal_first_hashes(tmp_path, monkeypatch):
+    monkeypatch.setattr(token_store.TaskContext, "get", staticmethod(lambda: type("T", (), {"taskAttemptId": lambda self: 0})()))
+    rows = pa.table({"h": [7, 7, 7, 9, 7], "mark": [1, 2, 3, 1, 2], "shard": [0, 1, 2, 3, 4], "first": [0] * 5, "docs": [1] * 5,
+                     "start": [0, 10, 20, 30, 40]})
+    token_store._write_index(f"file://{tmp_path}")((pa.scalar(0),), rows)
+    index = token_store.Index(f"file://{tmp_path}", 0)
+    found, runs = index.look_up(np.array([7, 7, 9, 7, 7]), np.array([2, 3, 1, 1, 8]))
+    assert index.seed > 0 and found.tolist() == [0, 0, 1, 2, 3] and runs["shard"].tolist() == [1, 4, 2, 3, 0]
+
+
+def test_store_paths_name_file_systems():
+    fs, root = token_store.filesystem("file:/a/b")
+    assert root == "/a/b"
+    try:
+        assert token_store.filesystem("s3a://bucket/x")[1] == "bucket/x"
+    except OSError as e:  # no region can be asked for without a network
+        assert "Unrecognized" not in str(e)
+
+
 def test_library_encoder_equals_the_library():
     path = public_tokenizers.path("byte_bpe_50k.json")
     library, mine = Tokenizer.from_file(path), token_store.LibraryEncoder(path)
@@ -263,6 +314,22 @@ def brute_lines(rows, least):
     return sorted((k, p, first[line] == (k, p) and line not in gone) for k, p, line in seen)
 
 
+def test_line_dedup_keeps_lines_of_one_of_repeated_rows(spark):
+    third = (None, "a line that is repeated\nanother line that is repeated\n\nshort")
+    rows = [third] * 40 + [(i, f"a line of document {i} alone\nanother line that is repeated") for i in range(1000, 80_000, 1000)] + [(5000, rows_text)] * 3
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, kept string, n_lines int").repartition(5)
+    got = Counter((r["doc_id"], r["line"]) for r in line_dedup.decisions(df).collect() if r["kept"])
+    assert got[None, "a line that is repeated"] == 1 and got[None, "short"] == 1
+    assert sum(n for (_, line), n in got.items() if line == "another line that is repeated") == 1
+    assert got[5000, rows_text] == 1
+    kept = [r for r in line_dedup.kept_lines(df).collect() if r["doc_id"] is None]
+    assert len(kept) == 40 and sorted(len(r["kept"]) for r in kept) == [0] * 39 + [2]
+    assert line_dedup.cleaned(df).columns == df.columns
+
+
+rows_text = "a line that only three rows of one id have"
+
+
 def test_line_dedup_equals_brute_force(spark, empty):
     rng = random.Random(8)
     base = ["".join(rng.choice("abé ") for _ in range(rng.randrange(1, 12))) for _ in range(25)]
@@ -368,6 +435,16 @@ def test_shards_are_near_equal_and_gapless(spark, docs, empty, bin_rows):
     assert sharding.shard_rows(empty, 8).count() == 0
 
 
+def test_shards_of_repeated_rows_are_near_equal(spark):
+    rows = [(None, "one text for a third of all rows")] * 300 + [(i, f"text {i} " * 3) for i in range(600)]
+    for bin_rows in (16, 4096):
+        out = sharding.shard_rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), 8, bin_rows=bin_rows).toPandas()
+        sizes = out.groupby("shard")["_size"].sum()
+        assert len(out) == 900 and len(sizes) == 8 and sizes.max() - sizes.min() <= 2 * out["_size"].max()
+        assert all(sorted(g["slot"]) == list(range(len(g))) for _, g in out.groupby("shard"))
+        assert out[out["doc_id"].notna()].groupby("text")["shard"].nunique().max() == 1
+
+
 # -- 10 -----------------------------------------------------------------------
 def test_bpe_equals_the_library(docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")

@@ -248,3 +248,59 @@ def predict(df: DataFrame, net: ByteGru | None, text_col: str = "text", keep: li
     fields = [df.schema[c] for c in names] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     rows = df.select(*dict.fromkeys([*names, text_col]), has_letter(F.col(text_col)).alias("_letter"))
     return map_arrow(rows, _predict(net, text_col, "_letter", names), T.StructType(fields))
+
+
+# -- texts of no learned language ------------------------------------------------
+# A classifier that has learned some languages gives one of them to any text. Whether a text is in one of them at all is
+# asked of its byte triples: those of a learned language have mostly been met in the training sample.
+# Triples that count as met before the first is read, so that short texts are not judged on a few.
+HEAD_START = 20
+
+
+@dataclass(frozen=True)
+class Familiar:
+    """Byte triples of the training sample (a bit each), and the least share of them that a text must have."""
+
+    bits: bytes
+    bound: float
+
+
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+
+
+def _triples(text: bytes) -> np.ndarray:
+    b = _LOWER[np.frombuffer(text, np.uint8)].astype(np.int32)
+    return (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
+
+
+def _shares(bits: bytes, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            out = []
+            for i in range(len(texts)):
+                triples = _triples(texts[i].as_py() or b"")
+                out.append((np.count_nonzero(met[triples]) + HEAD_START) / (len(triples) + HEAD_START))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], names=[*names, "familiar"])
+    return run
+
+
+def familiarity(df: DataFrame, bits: bytes, text_col: str = "text") -> DataFrame:
+    """`df` with `familiar`: the share of the whole text's byte triples that the sample has."""
+    names = [c for c in df.columns if c != "familiar"]
+    fields = [df.schema[c] for c in names] + [T.StructField("familiar", T.DoubleType())]
+    return map_arrow(df.select(*names, F.col(text_col).cast("binary").alias("_bytes")), _shares(bits, names), T.StructType(fields))
+
+
+def fit_familiar(labelled: DataFrame, held_out: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                 lost: float = 0.001, slack: float = 0.9) -> Familiar | None:
+    """Triples of the training sample of `labelled`, and the bound from all labelled texts of
+    `held_out`: `slack` times the share that all but `lost` of them have. None without either."""
+    met = np.zeros(1 << 24, dtype=bool)
+    for _, piece in training_sample(labelled, id_col, text_col, lang_col):
+        met[_triples(piece)] = True
+    bits = np.packbits(met).tobytes()
+    known = familiarity(held_out.where(F.col(lang_col).isNotNull() & has_letter(F.col(text_col))).select(text_col), bits, text_col)
+    least = known.agg(F.percentile_approx("familiar", lost, 10_000)).first()[0]
+    return None if least is None or not met.any() else Familiar(bits, slack * least)

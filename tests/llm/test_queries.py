@@ -66,6 +66,21 @@ def test_pipeline_stages(spark):
     assert out.count() == sizes[-1] and "ids" in out.columns
 
 
+def test_language_stage_rejects_unlearned_languages_only(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    foreign = ["Все люди рождаются свободными и равными в своем достоинстве и правах. " * 3,
+               "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+               "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+               "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+               "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+               "123 ... !!!", "", None]
+    own = [r["text"] for r in docs.where("lang is not null").limit(20).collect()]
+    rows = [(10 ** 6 + i, t, None, "s", 0) for i, t in enumerate(foreign)] + [(10 ** 7 + i, " ".join(t.split()[:3]), None, "s", 0) for i, t in enumerate(own)]
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), SF_SMALL).collect()}
+    assert not kept & set(range(10 ** 6, 10 ** 6 + len(foreign)))
+    assert {r["doc_id"] for r in docs.collect()} <= kept and set(range(10 ** 7, 10 ** 7 + 20)) <= kept
+
+
 def test_pipeline_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("false")
     for name, stage in corpus_pipeline.STAGES:

@@ -98,7 +98,25 @@ def unknown_if_blank(c) -> Column:
     return F.coalesce(F.nullif(col, F.lit("")), F.lit(C.UNKNOWN_VERDICT_TEXT))
 
 
+def two_decimals(x) -> Column:
+    """A double as text with two decimals, rounded from its exact binary value, ties
+    to the even digit (0.125 -> 0.12, 2.675 -> 2.67, which is a little less).
+
+    n = floor(100 |x|) cents or one more: 200 |x| against 2n + 1 decides. |x| is split
+    into two halves of few bits whose products with 200 are exact.
+    """
+    v = F.abs(_col(x))
+    high = v * 134217729.0 - (v * 134217729.0 - v)
+    n = F.floor(v * 100.0)
+    over = (high * 200.0 - (n * 2 + 1).cast("double")) + (v - high) * 200.0
+    cents = n + F.when((over > 0) | ((over == 0) & (F.pmod(n, F.lit(2)) == 1)), 1).otherwise(0)
+    exact = F.concat(F.when(_col(x) < 0, F.lit("-")).otherwise(F.lit("")), F.floor(cents / 100).cast("bigint").cast("string"), F.lit("."),
+                     F.lpad(F.pmod(cents, F.lit(100)).cast("string"), 2, "0"))
+    # Beyond 2^43 a double has no hundredths of its own left to round.
+    return F.when(v < F.lit(float(1 << 43)), exact).otherwise(F.format_string("%.2f", _col(x)))
+
+
 def price_line(price) -> Column:
     """'  Price: $x.xx\\n' when the price is set and non-zero, else ''."""
     p = _col(price)
-    return F.when(p.isNotNull() & (p != 0), F.format_string("  Price: $%.2f\n", p)).otherwise(F.lit(""))
+    return F.when(p.isNotNull() & (p != 0), F.concat(F.lit("  Price: $"), two_decimals(p.cast("double")), F.lit("\n"))).otherwise(F.lit(""))

@@ -222,13 +222,37 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
                grid: int | None = None, max_pairs: int | None = None) -> DataFrame:
     """Top-`k` marketplace candidates per retailer listing (see module doc).
     With `max_pairs`, only the first pairs of the run order are returned
-    (`cap_pairs`).
+    (`cap_pairs`), and only as many listings are searched as that takes.
 
     Columns: category, bestbuy_listing_id, bestbuy_name, bestbuy_price,
     ebay_listing_id, ebay_name, ebay_price, similarity, rank.
     """
     # The five columns of the matching, written once: they are read for the names, the ids, the stored pairs and the expansion.
     lm, _ = materialize(matchable(listings), "match_listings")
+    if max_pairs is not None:
+        return _first_candidates(lm, existing, k, min_sim, scorer, grid, max_pairs)
+    return _all_candidates(lm, existing, k, min_sim, scorer, grid)
+
+
+def _first_candidates(lm: DataFrame, existing: DataFrame | None, k: int, min_sim: float, scorer: Scorer, grid: int | None,
+                      max_pairs: int) -> DataFrame:
+    """The first `max_pairs` candidates: searched for the first retailer listings in
+    run order, for eight times as many where they do not fill the cap."""
+    retail = lm.filter(F.col("source") == C.SOURCE_RETAILER)
+    market = lm.filter(F.col("source") == C.SOURCE_MARKETPLACE)
+    total, n = retail.count(), max(1, max_pairs)
+    while True:
+        first, _ = materialize(retail.orderBy(F.col("category").asc_nulls_last(), "id").limit(n), "match_first")
+        blocks = first.select(_block(F.col("category")).alias("block")).distinct()
+        partners = market.withColumn("block", _block(F.col("category"))).join(blocks, "block", "left_semi").drop("block")
+        found = _all_candidates(first.unionByName(partners), existing, k, min_sim, scorer, grid)
+        capped, rows = materialize(cap_pairs(found, max_pairs), "match_capped")
+        if rows >= max_pairs or n >= total:
+            return cap_pairs(capped, max_pairs)
+        n *= 8
+
+
+def _all_candidates(lm: DataFrame, existing: DataFrame | None, k: int, min_sim: float, scorer: Scorer, grid: int | None) -> DataFrame:
     ex = closed = None
     K = k
     if existing is not None:
@@ -278,9 +302,8 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
         # Every listing of a name has the name's list, in its order: the rank is known by name.
         wn = Window.partitionBy("block", "l_name").orderBy(F.col("similarity").desc(), F.col("ebay_listing_id"))
         top = b.join(name_top.withColumn("rank", F.row_number().over(wn)), ["block", "l_name"])
-    out = top.select("category", "bestbuy_listing_id", F.col("l_name").alias("bestbuy_name"), "bestbuy_price", "ebay_listing_id",
-                     F.col("r_name").alias("ebay_name"), "ebay_price", "similarity", F.col("rank").cast("bigint").alias("rank"))
-    return out if max_pairs is None else cap_pairs(out, max_pairs)
+    return top.select("category", "bestbuy_listing_id", F.col("l_name").alias("bestbuy_name"), "bestbuy_price", "ebay_listing_id",
+                      F.col("r_name").alias("ebay_name"), "ebay_price", "similarity", F.col("rank").cast("bigint").alias("rank"))
 
 
 def cap_pairs(cands: DataFrame, max_pairs: int = C.MAX_PAIRS_PER_RUN) -> DataFrame:

@@ -146,5 +146,4 @@ def q_exclude(spark, sf_dir):
 
 @register("match_pair_cap", _brute(exclude=True, cap=C.MAX_PAIRS_PER_RUN))
 def q_cap(spark, sf_dir):
-    c = M.candidates(listings(spark, sf_dir), existing(spark, sf_dir), scorer=edit_similarity)
-    return M.cap_pairs(c, C.MAX_PAIRS_PER_RUN)
+    return M.candidates(listings(spark, sf_dir), existing(spark, sf_dir), scorer=edit_similarity, max_pairs=C.MAX_PAIRS_PER_RUN)

@@ -59,6 +59,8 @@ union all
 select id, product_name, price, sale_price, on_sale, source, url, category, brand, sku, scraped_at,
   cast(null as varchar) as raw_payload from raw_listings where source = 'bestbuy'""")
 def q_union_feeds(spark, sf_dir):
+    """Both feeds whole: all parsed marketplace items, and the retailer's feed, which by definition
+    is the listings of source 'bestbuy' (the fixture's listing view also holds marketplace listings)."""
     marketplace = parse.parse_items(items(spark, sf_dir), scraped_at=BATCH_TS)
     retailer = view(spark, sf_dir, "raw_listings").filter(F.col("source") == C.SOURCE_RETAILER)
     retailer = retailer.withColumn("raw_payload", F.lit(None).cast("string"))

@@ -175,8 +175,7 @@ def q_dq_referential(spark, sf_dir):
     raw = view(spark, sf_dir, "raw_listings")
     m = view(spark, sf_dir, "matched_products")
     return Q.union_checks(
-        Q.check_reference(m, "ebay_listing_id", raw, "id", "matched_products"),
-        Q.check_reference(m, "bestbuy_listing_id", raw, "id", "matched_products"),
+        Q.check_references(m, ["ebay_listing_id", "bestbuy_listing_id"], raw, "id", "matched_products"),
         Q.check_not_null(raw, ["product_name", "source"], "raw_listings"),
         Q.check_not_null(m, ["canonical_name", "confidence_score", "is_match"], "matched_products"),
     )

@@ -114,8 +114,7 @@ def run_matcher(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dic
     """
     target = cfg.matches_path or f"{cfg.out_root}/matched_products"
     existing = spark.read.schema(S.MATCHED_PRODUCT).parquet(target) if path_exists(spark, target) else None
-    cands = M.candidates(raw, existing)
-    pairs = M.to_pairs(cands if cfg.max_pairs is None else M.cap_pairs(cands, cfg.max_pairs))
+    pairs = M.to_pairs(M.candidates(raw, existing, max_pairs=cfg.max_pairs))
     # The scorer may be costly: write the pairs once so retries never re-run
     # the candidate search.
     pairs_path = f"{cfg.out_root}/match_runs/run_ts={cfg.run_ts.replace(' ', 'T')}/pairs"

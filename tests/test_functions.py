@@ -165,3 +165,21 @@ def test_dedup_tie_break_and_null_times(spark):
     assert got == [2, 4, 6]
     again = sorted(r.id for r in clean.dedup_listings(clean.dedup_listings(df)).collect())
     assert again == got
+
+
+def test_two_decimals_round_the_exact_value(spark):
+    import random
+    import struct
+
+    from pricelens.functions.columns import price_line, two_decimals
+
+    rnd = random.Random(9)
+    values = [0.125, 0.375, 0.625, 0.875, 2.675, 1.005, 1.115, 1.015, 0.0, 0.004, 0.005, 0.995, 0.999, 9.995, 1e-9, -0.001, -0.125, -12.345, 499.99,
+              float(2 ** 43) + 0.25, 123456789012.125, 1e15, 5e-324]
+    values += [round(rnd.uniform(0, 5000), rnd.randrange(1, 6)) for _ in range(3000)] + [k / 8 for k in range(400)] + [k / 1000 for k in range(5, 9000, 10)]
+    values += [abs(struct.unpack("<d", struct.pack("<q", rnd.getrandbits(62)))[0]) for _ in range(300)]
+    values = [v for v in values if v < 1e300]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", two_decimals("x").alias("t"), price_line("x").alias("p")).collect()
+    small = [r for r in rows if abs(r.x) < 2 ** 43]
+    assert [r.t for r in small] == ["%.2f" % r.x for r in small] and len(small) > 4000
+    assert {r.p for r in rows if r.x == 0.125} == {"  Price: $0.12\n"} and {r.p for r in rows if r.x == 0} == {""}

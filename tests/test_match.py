@@ -178,3 +178,14 @@ def test_frontier_with_gaps(spark):
     for excluded in (everyone, everyone | {(5, 0), (7, 1), (8, 1), (11, 2), (999, 0)}):
         ex = spark.createDataFrame(sorted(excluded), "ebay_listing_id long, bestbuy_listing_id long")
         _check(_spark_result(M.candidates(df, ex)), brute(dicts, excluded))
+
+
+@pytest.mark.parametrize("cap", [1, 7, 60, 100_000])
+def test_capped_search_equals_the_cap_of_all(spark, cap):
+    """Listings without candidates first: the search must go on until the cap is full."""
+    rows = [(i, "zzzz", "bestbuy", "a", 1.0) for i in range(20)] + [(100 + i, f"tv {i % 5}", "bestbuy" if i % 2 else "ebay", "b" if i % 3 else None, 1.0)
+                                                                    for i in range(60)] + [(500, "q", "ebay", "a", 1.0)]
+    df = spark.createDataFrame(rows, "id long, product_name string, source string, category string, price double")
+    ex = spark.createDataFrame([(100, 103)], "ebay_listing_id long, bestbuy_listing_id long")
+    want = M.cap_pairs(M.candidates(df, ex), cap).collect()
+    assert M.candidates(df, ex, max_pairs=cap).collect() == want and len(want) > 0

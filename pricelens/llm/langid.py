@@ -252,7 +252,8 @@ def predict(df: DataFrame, net: ByteGru | None, text_col: str = "text", keep: li
 
 # -- texts of no learned language ------------------------------------------------
 # A classifier that has learned some languages gives one of them to any text. Whether a text is in one of them at all is
-# asked of its byte triples: those of a learned language have mostly been met in the training sample.
+# asked of its byte triples: those of a learned language have mostly been met in the training sample. Only letters and blanks
+# count, so numbers, keys and marks within a text are no evidence against it.
 # Triples that count as met before the first is read, so that short texts are not judged on a few.
 HEAD_START = 20
 
@@ -265,12 +266,14 @@ class Familiar:
     bound: float
 
 
-_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+_LOWER = np.array([b if b >= 0x80 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 if b == 32 or 9 <= b <= 13 else 0 for b in range(256)],
+                  dtype=np.uint8)
 
 
 def _triples(text: bytes) -> np.ndarray:
     b = _LOWER[np.frombuffer(text, np.uint8)].astype(np.int32)
-    return (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
+    whole = (b[:-2] != 0) & (b[1:-1] != 0) & (b[2:] != 0)
+    return ((b[:-2] << 16) | (b[1:-1] << 8) | b[2:])[whole]
 
 
 def _shares(bits: bytes, names: list[str]):
@@ -287,14 +290,14 @@ def _shares(bits: bytes, names: list[str]):
 
 
 def familiarity(df: DataFrame, bits: bytes, text_col: str = "text") -> DataFrame:
-    """`df` with `familiar`: the share of the whole text's byte triples that the sample has."""
+    """`df` with `familiar`: the share of the whole text's triples of letters and blanks that the sample has."""
     names = [c for c in df.columns if c != "familiar"]
     fields = [df.schema[c] for c in names] + [T.StructField("familiar", T.DoubleType())]
     return map_arrow(df.select(*names, F.col(text_col).cast("binary").alias("_bytes")), _shares(bits, names), T.StructType(fields))
 
 
 def fit_familiar(labelled: DataFrame, held_out: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                 lost: float = 0.001, slack: float = 0.9) -> Familiar | None:
+                 lost: float = 0.001, slack: float = 0.85) -> Familiar | None:
     """Triples of the training sample of `labelled`, and the bound from all labelled texts of
     `held_out`: `slack` times the share that all but `lost` of them have. None without either."""
     met = np.zeros(1 << 24, dtype=bool)

@@ -7,10 +7,12 @@ unit of work: the cell builds the postings of its candidates per term, every
 term of a query scatters its weighted postings into a dense array of scores
 (one per candidate of the block), the k best are selected by partition, and the
 cells' lists are merged per query. All candidates are scored; nothing is
-approximated, and no cell holds more than one block of each side.
+approximated, and no cell holds more than one block of each side (rows equal
+in id and vector share a block).
 
 Defined results: vectors that are null or hold null, NaN or infinite components
-take no part; missing trailing components count as 0; rows with the query's own
+take no part; missing trailing components count as 0; query rows with one id have one
+list, the best over all of them; rows with the query's own
 id are not its candidates; repeated candidate rows each keep their place;
 scores beyond a 64-bit integer are clipped to it; ties go to the smaller id;
 fewer than k candidates give fewer rows; no queries or no rows give no result.

@@ -2,8 +2,8 @@
 
 Trees are grown on the driver from a bounded sample (TREES * SAMPLE rows of
 a few numbers, drawn by a hash), so the fit does not grow with the table.
-Every row is scored by column expressions: a walk down each tree over
-constant arrays, no Python in the plan. The score is the usual
+Every row is scored by column expressions: each tree is a nest of
+conditions, no Python in the plan. The score is the usual
 2 ** (-mean path length / c(SAMPLE)): near 1 for rows that few cuts single out,
 about 0.5 and less for ordinary ones.
 """
@@ -79,25 +79,24 @@ def fit(df: DataFrame, columns: tuple[str, ...] = FEATURES, trees: int = TREES,
     return grow([rows[i * each:(i + 1) * each] for i in range(trees)] if each else [], columns, seed)
 
 
-def _constant(values: tuple, kind: str) -> Column:
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+def _tree_sql(forest: Forest, node: int) -> str:
+    """Path length of a row in the tree below `node`, as nested conditions."""
+    if forest.feature[node] < 0:
+        return f"{forest.path[node]!r}D"
+    x = f"`{forest.columns[forest.feature[node]].replace('`', '``')}`"
+    return (f"if(double({x}) < double('{forest.threshold[node]!r}'), {_tree_sql(forest, forest.left[node])}, "
+            f"{_tree_sql(forest, forest.right[node])})")
 
 
 def isolation_score(forest: Forest) -> Column:
-    """Score of a row, 0 to 1; NULL where a feature is NULL or the forest is empty."""
+    """Score of a row, 0 to 1; NULL where a feature is NULL or the forest is empty.
+
+    A walk takes one comparison per level. The test for NULLs is a higher-order function, which
+    keeps the projection out of whole-stage code: there Spark compiles every subtree as a method of its own."""
     if not forest.roots or forest.unit == 0:
         return F.lit(None).cast("double")
-    x = F.array(*[F.col(c).cast("double") for c in forest.columns])
-    feature, threshold = _constant(forest.feature, "int"), _constant(forest.threshold, "double")
-    left, right, path = _constant(forest.left, "int"), _constant(forest.right, "int"), _constant(forest.path, "double")
-
-    def step(node: Column, _: Column) -> Column:
-        below = F.get(x, F.get(feature, node)) < F.get(threshold, node)
-        return F.when(F.get(feature, node) < 0, node).when(below, F.get(left, node)).otherwise(F.get(right, node))
-
-    steps = F.array(*[F.lit(i) for i in range(forest.depth)])
-    total = F.aggregate(_constant(forest.roots, "int"), F.lit(0.0), lambda acc, root: acc + F.get(path, F.aggregate(steps, root, step)))
-    known = ~F.exists(x, lambda v: v.isNull())
+    total = F.expr(" + ".join(_tree_sql(forest, root) for root in forest.roots))
+    known = ~F.exists(F.array(*[F.col(c).cast("double") for c in forest.columns]), lambda v: v.isNull())
     return F.when(known, F.pow(F.lit(2.0), -total / (len(forest.roots) * forest.unit)))
 
 

@@ -69,3 +69,31 @@ def test_large_listing_files_take_the_split_reader(spark, tmp_path, small_splits
     got = rows(IO.read_listing_json(spark, [str(path)]))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
     assert rows(IO.read_listing_json(spark, [str(path)])) == got and len(used) == 1
+
+
+def test_scan_of_many_pieces_equals_the_walk_and_the_cutter():
+    """Pieces are looked at together; odd ones (marks out of place) must give what one by one gives."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    good = '"a\\"b"', ',{"k":1', '{"x":"\\\\"', '"', "{", "]", ",", " ", '"q {"', "é", ""
+    for case in range(300):
+        bits = [*good, *["\\", '\\"', "\\\\"] * (case % 3)]
+        pieces = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(6))) if case % 2 else rnd.choice(good[:4]) for _ in range(rnd.randrange(1, 30))]
+        values = pa.array(["skipped", *pieces]).slice(1)
+        for begin in (False, True):
+            before, end, opened = JA._Scan(values).run(begin)
+            state = begin
+            for i, piece in enumerate(pieces):
+                assert before[i] == state
+                state, n = JA.walk(piece, state)
+                assert (end[i], opened[i]) == (state, n)
+            for depth in (0, 1, 2):
+                one, many = JA._Cutter("p", 5, begin, depth, 2), JA._Cutter("p", 5, begin, depth, 2)
+                want = [r for r in map(one.take, pieces) if r] + [r for r in [one.finish()] if r]
+                cut = rnd.randrange(len(pieces) + 1)
+                got = [x for part in (values.slice(0, cut), values.slice(cut)) for r in many.take_all(part)
+                       for x in ([("p", 5, 5, t, True) for t in r.to_pylist()] if isinstance(r, pa.Array) else [r])]
+                assert got + [r for r in [many.finish()] if r] == want
+    assert np.array_equal(JA._Scan(pa.array(['{"a": 1', ',{"b": 2'])).run(False)[2], [1, 1])

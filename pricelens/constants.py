@@ -97,6 +97,8 @@ PAIRS_PER_CELL = 500_000
 # Similarity scoring: name pairs per scoring task (CPU-bound Python; the
 # partition count is set from the pair estimate, not from bytes).
 PAIRS_PER_SCORE_TASK = 20_000
+# More tasks than this in one stage are a load for the driver; beyond it, tasks get more pairs.
+MAX_SCORE_TASKS = 1_000
 # Anomaly detection: look-back days, minimum observations, |z| threshold.
 ANOMALY_LOOKBACK_DAYS = 28
 ANOMALY_MIN_OBS = 8

@@ -25,9 +25,10 @@ which holds for both scores of `functions.similarity`.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pricelens import constants as C
@@ -113,12 +114,13 @@ def name_pairs(listings: DataFrame, min_sim: float = C.MIN_SIMILARITY, grid: int
     return pairs_in_blocks(names, min_sim)
 
 
-def _score_tasks(spark, estimate: int) -> int:
+def _score_tasks(spark, estimate: int, pairs_per_task: int = C.PAIRS_PER_SCORE_TASK) -> int:
+    """Tasks for `estimate` pairs: all cores, no more than the driver can keep track of."""
     try:
         floor = spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
         floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(floor, -(-estimate // C.PAIRS_PER_SCORE_TASK))
+    return max(floor, min(C.MAX_SCORE_TASKS, -(-estimate // pairs_per_task)))
 
 
 def max_exclusions(existing: DataFrame | None) -> int:
@@ -197,10 +199,12 @@ class NameSearch:
 def search_names(listings: DataFrame, k: int, min_sim: float = C.MIN_SIMILARITY, scorer: Scorer = difflib_similarity,
                  grid: int | None = None, closed: DataFrame | None = None) -> NameSearch:
     """Name pairs that reach the `k`-th best open entry of their retailer name."""
+    spark = listings.sparkSession
     left, right, estimate = _search_sides(listings, grid)
     # Entries of a marketplace name that are open to a retailer name.
-    ids = (matchable(listings).filter(F.col("source") == C.SOURCE_MARKETPLACE)
-           .groupBy(_block(F.col("category")).alias("block"), F.col("product_name").alias("r_name")).agg(F.count(F.lit(1)).alias("n")))
+    market = matchable(listings).filter(F.col("source") == C.SOURCE_MARKETPLACE)
+    block = _block(F.col("category")).alias("block")
+    ids = market.groupBy(block, F.col("product_name").alias("r_name")).agg(F.count(F.lit(1)).alias("n"))
     close, n_close = materialize(close_pairs(left, right), "match_close")
     seeds, _ = materialize(_scored(close, scorer, n_close), "match_seeds")
     entries = close.join(ids, ["block", "r_name"])
@@ -211,9 +215,21 @@ def search_names(listings: DataFrame, k: int, min_sim: float = C.MIN_SIMILARITY,
     limits = thresholds(seeds, entries, k, min_sim)
     left = (left.join(limits.withColumnRenamed("l_name", "name"), ["block", "name"], "left")
             .withColumn("threshold", F.greatest(F.coalesce("threshold", F.lit(min_sim)), F.lit(min_sim))))
-    # The pairs are written before they are scored: the scorer's tasks are sized by their number.
-    pairs, n_pairs = materialize(bounded_pairs(left, right), "match_pairs")
-    scored = _scored(pairs, scorer, n_pairs).filter(F.col("similarity") >= F.col("threshold")).drop("threshold")
+    # Pairs are scored where they are formed, cell by cell, and never written or sent on.
+    tasks = _score_tasks(spark, estimate, C.PAIRS_PER_CELL)
+    if closed is None:
+        # Every marketplace name has an open entry, its first id: the names of the best k of these hold the best k entries.
+        first = F.when(F.count_if(F.col("id").isNull()) == 0, F.min("id")).alias("first_id")
+        firsts = market.groupBy(block, F.col("product_name").alias("name")).agg(first)
+        right = right.join(firsts, ["block", "name"])
+    formed = Observation(f"pairs_formed_{uuid.uuid4().hex}")
+    pairs = bounded_pairs(left, right, tasks=tasks, keep=("first_id",) * (closed is None)).observe(formed, F.count(F.lit(1)).alias("pairs"))
+    scored = pairs.withColumn("similarity", scorer(F.col("l_name"), F.col("r_name"))).filter(F.col("similarity") >= F.col("threshold"))
+    if closed is None:
+        best = Window.partitionBy("block", "l_name").orderBy(F.col("similarity").desc(), "first_id")
+        scored = scored.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= k)
+    scored, _ = materialize(scored.select("block", "l_name", "r_name", "similarity"), "match_scored")
+    n_pairs = int(formed.get["pairs"])
     return NameSearch(scored, estimate, n_close + n_pairs)
 
 

@@ -8,7 +8,7 @@ already. Three steps, all exact:
 1. `with_letters` gives every distinct name its letters (letter, how many-th),
    their 256-bit sketch, and its length;
 2. `thresholds` scores a few close names per left name (names that share a
-   minimum hash of three-letter pieces) and takes the K-th best of those
+   minimum hash of three-letter pieces and stand next to it) and takes the K-th best of those
    scores: the left name's threshold, which can only be below its true K-th
    best score;
 3. `bounded_pairs` forms the pairs of a block cell by cell and keeps those
@@ -31,9 +31,9 @@ from pricelens.functions.similarity import length_bound, name_len
 Scorer = Callable[[Column, Column], Column]
 
 SKETCH = ("s0", "s1", "s2", "s3")
-# Minimum hashes of a name, and partners taken from the names that share one.
+# Minimum hashes of a name, and partners taken from the names that share one: those next to it in order.
 HASHES = 4
-SEEDS = 8
+SEEDS = 16
 # A score may exceed the bound by rounding only.
 SLACK = 1e-9
 
@@ -85,11 +85,13 @@ def _side(names: DataFrame, side: str, extra: tuple[str, ...] = ()) -> DataFrame
     return names.select("block", *extra, *[F.col(c).alias(f"{side}_{c}") for c in ("name", "len", "letters", *SKETCH)])
 
 
-def bounded_pairs(left: DataFrame, right: DataFrame, slack: float = SLACK) -> DataFrame:
-    """Pairs (block, l_name, r_name, threshold) whose letter bound reaches the left name's threshold.
+def bounded_pairs(left: DataFrame, right: DataFrame, slack: float = SLACK, tasks: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs (block, l_name, r_name, threshold) whose letter bound reaches the left name's threshold,
+    with the right names' columns `keep`.
 
     `left` and `right` come from `with_letters` and have `block`, `name`, `g`
-    (cells per side of the block); `left` also has `threshold` (> 0).
+    (cells per side of the block); `left` also has `threshold` (> 0). The cells are
+    spread over `tasks` tasks where given: their work is in the pairs, not in the bytes read.
     """
     cells = F.explode(F.sequence(F.lit(0), F.col("g") - 1).cast("array<bigint>"))
     reach = (F.lit(2.0) - F.col("threshold")) / F.col("threshold")  # longest/shortest length the threshold allows
@@ -98,12 +100,14 @@ def bounded_pairs(left: DataFrame, right: DataFrame, slack: float = SLACK) -> Da
     hi = F.when(F.col("l_len") == 0, F.lit(-1)).otherwise(bucket(F.greatest(F.lit(1), F.ceil(F.col("l_len") * reach - slack).cast("int"))))
     lhs = (_side(left, "l", ("g", "threshold")).withColumn("bucket", F.explode(F.sequence(lo, hi)))
            .withColumn("gr", F.pmod(F.xxhash64("l_name"), F.col("g").cast("bigint"))).withColumn("gc", cells).drop("g"))
-    rhs = (_side(right, "r", ("g",)).withColumn("bucket", bucket(F.col("r_len")))
+    rhs = (_side(right, "r", ("g", *keep)).withColumn("bucket", bucket(F.col("r_len")))
            .withColumn("gc", F.pmod(F.xxhash64("r_name"), F.col("g").cast("bigint"))).withColumn("gr", cells).drop("g"))
     least = F.col("threshold") - F.lit(slack)
+    if tasks is not None:
+        lhs, rhs = (side.repartition(tasks, "block", "bucket", "gr", "gc") for side in (lhs, rhs))
     return (lhs.join(rhs, ["block", "bucket", "gr", "gc"])
             .where(length_bound(F.col("l_len"), F.col("r_len")) >= least).where(sketch_bound("l", "r") >= least)
-            .where(letter_bound("l", "r") >= least).select("block", "l_name", "r_name", "threshold"))
+            .where(letter_bound("l", "r") >= least).select("block", "l_name", "r_name", "threshold", *keep))
 
 
 def _hashes(name: Column) -> Column:
@@ -113,13 +117,29 @@ def _hashes(name: Column) -> Column:
                      for i in range(HASHES)])
 
 
+def _orders(name: Column) -> list[Column]:
+    """An order of names per minimum hash: from the front, from the back, by their letters, from the middle."""
+    low = F.lower(name)
+    half = (F.char_length(low) / 2).cast("int")
+    by_letter = F.array_join(F.array_sort(F.split(low, "")), "")
+    return [low, F.reverse(low), by_letter, F.concat(F.substring(low, half + 1, F.char_length(low)), F.substring(low, F.lit(1), half))]
+
+
 def close_pairs(left: DataFrame, right: DataFrame, seeds: int = SEEDS) -> DataFrame:
-    """Distinct (block, l_name, r_name) that share a minimum hash; at most `seeds` right names per hash."""
-    keyed = lambda df, side: df.select("block", F.col("name").alias(f"{side}_name"), F.explode(_hashes(F.col("name"))).alias("k")).select(
-        "block", f"{side}_name", "k.i", "k.h")
-    first = Window.partitionBy("block", "i", "h").orderBy("r_name")
-    few = keyed(right, "r").withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= seeds).drop("_r")
-    return keyed(left, "l").join(few, ["block", "i", "h"]).select("block", "l_name", "r_name").distinct()
+    """Distinct (block, l_name, r_name) that share a minimum hash: per hash, the `seeds` right
+    names around the left one in the hash's order of names, so an equal name is among them."""
+    def keyed(df: DataFrame, is_left: bool) -> DataFrame:
+        orders = F.array(*_orders(F.col("name")))
+        return df.select("block", "name", F.lit(is_left).alias("is_left"), orders.alias("orders"), F.explode(_hashes(F.col("name"))).alias("k")).select(
+            "block", "k.i", "k.h", "name", "is_left", F.get("orders", F.col("k.i")).alias("key"))
+
+    # Place of a right name among its hash's right names; of a left name, how many stand before it (the equal one behind it).
+    order = Window.partitionBy("block", "i", "h").orderBy("key", "name", F.col("is_left").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    placed = keyed(left, True).unionByName(keyed(right, False)).withColumn("place", F.count_if(~F.col("is_left")).over(order))
+    around = F.sequence(F.col("place") - (seeds // 2 - 1), F.col("place") + (seeds - seeds // 2))
+    lefts = placed.where("is_left").select("block", "i", "h", F.col("name").alias("l_name"), F.explode(around).alias("place"))
+    rights = placed.where("not is_left").select("block", "i", "h", F.col("name").alias("r_name"), "place")
+    return lefts.join(rights, ["block", "i", "h", "place"]).select("block", "l_name", "r_name").distinct()
 
 
 def thresholds(scored: DataFrame, entries: DataFrame, k: int, min_score: float) -> DataFrame:

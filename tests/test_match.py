@@ -189,3 +189,29 @@ def test_capped_search_equals_the_cap_of_all(spark, cap):
     ex = spark.createDataFrame([(100, 103)], "ebay_listing_id long, bestbuy_listing_id long")
     want = M.cap_pairs(M.candidates(df, ex), cap).collect()
     assert M.candidates(df, ex, max_pairs=cap).collect() == want and len(want) > 0
+
+
+def test_pairs_are_scored_by_few_tasks_and_only_the_best_go_on(spark):
+    """Tasks by the number of pairs alone outgrow the driver, and all pairs outgrow the disk."""
+    assert M._score_tasks(spark, 10**9) <= 1000
+    words = ["small ring", "red bolt", "old gear"]
+    rows = [(i, f"{words[i % 3]} {1000 + i // 2}", "bestbuy" if i % 2 else "ebay", None, 1.0) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, product_name string, source string, category string, price double")
+    found = M.search_names(df, 5, scorer=SIM.edit_similarity)
+    assert found.scored.groupBy("block", "l_name").count().agg(F.max("count")).first()[0] <= 5
+    assert found.pairs_scored < 0.6 * found.pairs_formed
+
+
+def test_equal_names_are_close_and_best_entries_stay(spark):
+    """More equal names and ties than are kept; ids that are null or repeat across names."""
+    rows = [(i, f"tv {i % 40}", "bestbuy" if i % 7 == 0 else "ebay", None, 1.0) for i in range(400)]
+    rows += [(1000 + i % 3, f"radio {i}", "ebay", "c", 1.0) for i in range(30)] + [(None, "radio 77", "ebay", "c", 1.0), (2000, "radio 7", "bestbuy", "c", 1.0)]
+    df = spark.createDataFrame(rows, "id long, product_name string, source string, category string, price double")
+    left, right, _ = M._search_sides(df, None)
+    pairs = {(r.l_name, r.r_name) for r in SJ.close_pairs(left, right, seeds=2).where("block = ''").collect()}
+    assert {n for n in (f"tv {i}" for i in range(40))} <= {a for a, b in pairs if a == b}
+    got = M.candidates(df.where("category is null"), None)
+    _check(_spark_result(got), brute([r.asDict() for r in df.where("category is null").collect()], set()))
+    top = M.candidates(df.where("category = 'c'"), None).orderBy("rank").collect()
+    assert [(r.rank, r.ebay_name) for r in top][0] == (1, "radio 7") and len(top) == 5
+    assert top[1].ebay_listing_id is None

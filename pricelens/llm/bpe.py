@@ -37,10 +37,10 @@ from pyspark.sql import types as T
 from pricelens.llm.common import map_arrow
 
 LONG_PIECE = 4096
-# Units kept per worker in each of two generations.
-CACHE_UNITS = 300_000
+# Units kept per worker in each of two generations (some 200 bytes each).
+CACHE_UNITS = 200_000
 # Characters of text that are handled at a time.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
 
 # The library's white space and split rule.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -64,10 +64,12 @@ class _NewCharacters:
     itself says how it lowers them (`lower`) and whether they are letters,
     numbers or neither (`kind`: a stand-in of that class). For str.translate."""
 
-    def __init__(self, path: str):
+    def __init__(self, spec: dict):
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_file(path)
+        # The rules alone: the library would hold the vocabulary a second time in every worker.
+        library = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}))
+        self.vocabulary_size = library.get_vocab_size
         self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.lower, self.kind = _Lazy(self._lower), _Lazy(self._kind)
 
@@ -120,7 +122,7 @@ class WordBpe:
         self.final = np.array([vocab[s + "</w>"] for s in symbols], dtype=np.int64)
         pattern = regex.compile(_PIECE.replace(r"\s", _SPACE))
         self.find, self.match = pattern.findall, pattern.finditer
-        self.new = _NewCharacters(path)
+        self.new = _NewCharacters(spec)
         self.cut_space = regex.compile(f"[{_SPACE}]+").split
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split
         raw = [(t + " ").encode() for t in self.tokens]

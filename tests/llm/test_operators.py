@@ -466,3 +466,16 @@ def test_bpe_pieces_of_every_shape():
     cases += ["".join(rng.choice("abehtionsr'.é") for _ in range(rng.randrange(5000))) for _ in range(60)]
     for t in cases:
         assert np.frombuffer(mine.encode([t])[0], "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_bpe_worker_holds_the_vocabulary_once():
+    """The library gives the rules for new characters without a vocabulary of its own, and caches stay bounded."""
+    from pricelens.llm.queries import WORD_VOCABULARY
+
+    path = public_tokenizers.path(WORD_VOCABULARY)
+    words, library = bpe.WordBpe(path), Tokenizer.from_file(path)
+    assert Tokenizer.from_str(library.to_str()).get_vocab_size() > 40_000 and words.new.vocabulary_size() == 0
+    texts = ["plain Text, 12's", "a\U0001fae9b Ƛ xᲉy \U00010d50\U00010d70", "<|endoftext|> é ΑΣ"]
+    for payload, text in zip(words.encode(texts), texts):
+        assert np.frombuffer(payload, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert 2 * bpe.CACHE_UNITS * 200 < 100e6 and bpe.SLICE_CHARS <= 500_000

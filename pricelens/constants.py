@@ -99,6 +99,8 @@ PAIRS_PER_CELL = 500_000
 PAIRS_PER_SCORE_TASK = 20_000
 # More tasks than this in one stage are a load for the driver; beyond it, tasks get more pairs.
 MAX_SCORE_TASKS = 1_000
+# Plain pairs scored in the time that the letters and the close names of one name take.
+PLAIN_PAIRS_PER_NAME = 200
 # Anomaly detection: look-back days, minimum observations, |z| threshold.
 ANOMALY_LOOKBACK_DAYS = 28
 ANOMALY_MIN_OBS = 8

@@ -8,7 +8,9 @@ Plan (exact, no listing-by-listing pairs):
 1. distinct (category, name) per source - similarity depends on names only;
 2. a top-K threshold join of the names (`simjoin`): each retailer name gets a
    threshold from a few close names, and only pairs whose letters can reach it
-   are scored (Arrow UDF or a native column);
+   are scored (Arrow UDF or a native column). For the edit score without stored
+   pairs, equal names come first, then names one and two edits apart (`editjoin`);
+   only retailer names whose k-th entry could still be beaten go to that join;
 3. stored pairs are taken out where they are few and cheap to look up: an id
    that every listing of a retailer name has been paired with is closed to
    that name. Per (retailer name, marketplace name) the closed ids usually are
@@ -32,10 +34,12 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pricelens import constants as C
-from pricelens.functions.similarity import difflib_similarity, length_bound, name_len
-from pricelens.operators.simjoin import Scorer, bounded_pairs, close_pairs, thresholds, with_letters
+from pricelens.functions.similarity import difflib_similarity, edit_similarity, length_bound, name_len
+from pricelens.operators import editjoin as E
+from pricelens.operators.numbering import number_rows
+from pricelens.operators.simjoin import SLACK, Scorer, bounded_pairs, close_pairs, thresholds, with_letters
 from pricelens.operators.simjoin import bucket as _bucket
-from pricelens.session import materialize
+from pricelens.session import materialize, shuffles_dropped
 
 
 def matchable(listings: DataFrame) -> DataFrame:
@@ -199,12 +203,30 @@ class NameSearch:
 def search_names(listings: DataFrame, k: int, min_sim: float = C.MIN_SIMILARITY, scorer: Scorer = difflib_similarity,
                  grid: int | None = None, closed: DataFrame | None = None) -> NameSearch:
     """Name pairs that reach the `k`-th best open entry of their retailer name."""
-    spark = listings.sparkSession
+    if scorer is edit_similarity and closed is None and grid is None:
+        return _search_by_edits(listings, k, min_sim)
     left, right, estimate = _search_sides(listings, grid)
     # Entries of a marketplace name that are open to a retailer name.
     market = matchable(listings).filter(F.col("source") == C.SOURCE_MARKETPLACE)
     block = _block(F.col("category")).alias("block")
     ids = market.groupBy(block, F.col("product_name").alias("r_name")).agg(F.count(F.lit(1)).alias("n"))
+    if closed is None:
+        # Every marketplace name has an open entry, its first id: the names of the best k of these hold the best k entries.
+        firsts = market.groupBy(block, F.col("product_name").alias("name")).agg(_first_id(F.lit(True)).alias("first_id"))
+        right = right.join(firsts, ["block", "name"])
+    scored, n_scored = _search_by_bound(left, right, ids, estimate, k, min_sim, scorer, closed)
+    return NameSearch(scored, estimate, n_scored)
+
+
+def _first_id(where: Column) -> Column:
+    """The first id of a group's listings `where`, NULL where there is a null id among them."""
+    return F.when(F.count_if(where & F.col("id").isNull()) == 0, F.min(F.when(where, F.col("id"))))
+
+
+def _search_by_bound(left: DataFrame, right: DataFrame, ids: DataFrame, estimate: int, k: int, min_sim: float, scorer: Scorer,
+                     closed: DataFrame | None) -> tuple[DataFrame, int]:
+    """(block, l_name, r_name, similarity), written, of names whose letters can reach the threshold, and the pairs scored.
+    `ids`: the entries `n` of every right name; `right` has `first_id` where nothing is closed."""
     close, n_close = materialize(close_pairs(left, right), "match_close")
     seeds, _ = materialize(_scored(close, scorer, n_close), "match_seeds")
     entries = close.join(ids, ["block", "r_name"])
@@ -216,12 +238,7 @@ def search_names(listings: DataFrame, k: int, min_sim: float = C.MIN_SIMILARITY,
     left = (left.join(limits.withColumnRenamed("l_name", "name"), ["block", "name"], "left")
             .withColumn("threshold", F.greatest(F.coalesce("threshold", F.lit(min_sim)), F.lit(min_sim))))
     # Pairs are scored where they are formed, cell by cell, and never written or sent on.
-    tasks = _score_tasks(spark, estimate, C.PAIRS_PER_CELL)
-    if closed is None:
-        # Every marketplace name has an open entry, its first id: the names of the best k of these hold the best k entries.
-        first = F.when(F.count_if(F.col("id").isNull()) == 0, F.min("id")).alias("first_id")
-        firsts = market.groupBy(block, F.col("product_name").alias("name")).agg(first)
-        right = right.join(firsts, ["block", "name"])
+    tasks = _score_tasks(left.sparkSession, estimate, C.PAIRS_PER_CELL)
     formed = Observation(f"pairs_formed_{uuid.uuid4().hex}")
     pairs = bounded_pairs(left, right, tasks=tasks, keep=("first_id",) * (closed is None)).observe(formed, F.count(F.lit(1)).alias("pairs"))
     scored = pairs.withColumn("similarity", scorer(F.col("l_name"), F.col("r_name"))).filter(F.col("similarity") >= F.col("threshold"))
@@ -229,8 +246,120 @@ def search_names(listings: DataFrame, k: int, min_sim: float = C.MIN_SIMILARITY,
         best = Window.partitionBy("block", "l_name").orderBy(F.col("similarity").desc(), "first_id")
         scored = scored.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= k)
     scored, _ = materialize(scored.select("block", "l_name", "r_name", "similarity"), "match_scored")
-    n_pairs = int(formed.get["pairs"])
-    return NameSearch(scored, estimate, n_close + n_pairs)
+    return scored, n_close + int(formed.get["pairs"])
+
+
+# Names listed beyond the k best: room for pairs whose keys met by chance.
+SPARE = 2
+
+
+def _search_by_edits(listings: DataFrame, k: int, min_sim: float) -> NameSearch:
+    """`search_names` by the edit score, all entries open. Each step is for the retailer names
+    that the ones before leave open:
+
+    1. names with `k` entries of equal names (1.0, which nothing beats);
+    2. names at most one edit apart, then two: what is over e edits away scores len / (len + e + 1) at most;
+    3. the search by letters."""
+    retail, market = (F.col("source") == s for s in (C.SOURCE_RETAILER, C.SOURCE_MARKETPLACE))
+    found, _ = materialize(
+        matchable(listings).filter(F.col("product_name").isNotNull()).groupBy(_block(F.col("category")).alias("block"), F.col("product_name").alias("name"))
+        .agg(F.count_if(retail).alias("listings"), F.count_if(market).alias("n"), _first_id(market).alias("first_id")), "match_names")
+    # Numbered by first id, so that ties are settled by number.
+    names, _ = number_rows(found, ["first_id"], "nid")
+    names = names.withColumn("low", F.lower("name")).withColumn("len", name_len("name"))
+    equal = names.filter(F.col("n") > 0).groupBy("block", "low").agg(F.sum("n").alias("equal"))
+    is_open = (F.col("listings") > 0) & (F.coalesce("equal", F.lit(0)) < k)
+    names, _ = materialize(names.join(equal, ["block", "low"], "left").withColumn("open", is_open), "match_numbered")
+    right = names.filter(F.col("n") > 0)
+    by_block = names.groupBy("block").agg(F.count_if(F.col("listings") > 0).alias("nb"), F.count_if(F.col("n") > 0).alias("ne"),
+                                          F.count_if("open").alias("nopen"))
+    by_block, _ = materialize(by_block, "match_blocks")
+    n_open, pairs = by_block.agg(F.sum("nopen"), F.sum(F.col("nb").cast("double") * F.col("ne"))).first()
+    pairs = int(pairs or 0)
+
+    by_nid = Window.partitionBy("block", "low").orderBy("nid")
+    firsts = right.withColumn("_r", F.row_number().over(by_nid)).filter(F.col("_r") <= k).select("block", "low", F.col("name").alias("r_name"))
+    done = names.filter((F.col("listings") > 0) & ~F.col("open")).select("block", "low", F.col("name").alias("l_name"))
+    scored, n_scored = materialize(_with_score(done.join(firsts, ["block", "low"])), "match_equal")
+    if not n_open:
+        return NameSearch(scored, pairs, n_scored)
+
+    rest, n_rest = materialize(names.filter("open").select("nid", "block", "name"), "match_open")
+    for edits in range(1, E.MAX_EDITS + 1):
+        rest, near, n_near = _near_names(names, rest, edits, k, min_sim)
+        scored, n_scored = scored.unionByName(near), n_scored + n_near
+        rest, n_rest = materialize(rest, "match_rest")
+        if not n_rest:
+            break
+    if n_rest:
+        far, n_far = _search_rest(rest, right, by_block, k, min_sim)
+        scored, n_scored = scored.unionByName(far), n_scored + n_far
+    return NameSearch(scored, pairs, n_scored)
+
+
+def _with_score(pairs: DataFrame) -> DataFrame:
+    return pairs.select("block", "l_name", "r_name", edit_similarity(F.col("l_name"), F.col("r_name")).alias("similarity"))
+
+
+def _search_rest(rest: DataFrame, right: DataFrame, by_block: DataFrame, k: int, min_sim: float) -> tuple[DataFrame, int]:
+    """The search for the names `rest` (block, name), which may be few and their partners many; and the pairs scored."""
+    counts, _ = materialize(rest.groupBy("block").agg(F.count(F.lit(1)).alias("nrest")).join(by_block, "block"), "match_rest_blocks")
+    estimate, n_right = (int(x or 0) for x in counts.agg(F.sum(F.col("nrest").cast("double") * F.col("ne")), F.sum("ne")).first())
+    # As many rows and columns of cells as send on the fewest copies.
+    cells = F.greatest(F.lit(1.0), F.col("nrest") * F.col("ne").cast("double") / F.lit(float(C.PAIRS_PER_CELL)))
+    rows = F.greatest(F.lit(1), F.round(F.sqrt(cells * F.col("nrest") / F.greatest("ne", F.lit(1)))).cast("int"))
+    cut = counts.withColumn("g", rows).withColumn("h", F.ceil(cells / F.col("g")).cast("int")).select("block", "g", "h")
+    left = rest.join(cut, "block").select("block", "name", "g", "h")
+    partners = right.join(cut, "block").select("block", "name", "g", "h", "first_id")
+    if estimate > C.PLAIN_PAIRS_PER_NAME * n_right:
+        left, _ = materialize(with_letters(left), "match_left")
+        partners, _ = materialize(with_letters(partners), "match_right")
+        entries = right.select("block", F.col("name").alias("r_name"), "n")
+        return _search_by_bound(left, partners, entries, estimate, k, min_sim, edit_similarity, None)
+    of = lambda name, side: F.pmod(F.xxhash64(name), F.col(side).cast("bigint"))
+    all_of = lambda side: F.explode(F.sequence(F.lit(0), F.col(side) - 1).cast("array<bigint>"))
+    tasks = _score_tasks(rest.sparkSession, estimate, C.PAIRS_PER_CELL)
+    lhs = left.select("block", F.col("name").alias("l_name"), of("name", "g").alias("gr"), all_of("h").alias("gc"))
+    rhs = partners.select("block", F.col("name").alias("r_name"), "first_id", of("name", "h").alias("gc"), all_of("g").alias("gr"))
+    pairs = lhs.repartition(tasks, "block", "gr", "gc").join(rhs.repartition(tasks, "block", "gr", "gc"), ["block", "gr", "gc"])
+    best = Window.partitionBy("block", "l_name").orderBy(F.col("similarity").desc(), "first_id")
+    scored = (pairs.withColumn("similarity", edit_similarity(F.col("l_name"), F.col("r_name"))).filter(F.col("similarity") >= min_sim)
+              .withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= k))
+    return materialize(scored.select("block", "l_name", "r_name", "similarity"), "match_scored")[0], estimate
+
+
+def _near_names(names: DataFrame, rest: DataFrame, edits: int, k: int, min_sim: float) -> tuple[DataFrame, DataFrame, int]:
+    """Of the names `rest` (nid, block, name) those that names at most `edits` away do not settle; scored
+    pairs of the others, and how many pairs were scored. `names`: nid, block, name, low, len, n."""
+    near_by = names.filter(F.col("len") <= E.MAX_LEN).join(rest.select("block").distinct(), "block", "left_semi")
+    left = F.col("in_rest").isNotNull() & (F.col("len") <= E.MAX_LEN - edits)
+    dealt = (near_by.join(rest.select("nid", F.lit(True).alias("in_rest")), "nid", "left").filter(left | (F.col("n") > 0))
+             .select("nid", F.xxhash64("block").alias("seed"), F.col("low").alias("name"), left.alias("is_left"), (F.col("n") > 0).alias("is_right"), "len"))
+    dealt, n_names = materialize(dealt, "match_dealt")
+    keys = int(dealt.agg(F.sum(E.key_count(F.col("len"), edits))).first()[0] or 0)
+    best = k + SPARE
+    near = E.near_pairs(dealt, edits, keys, min_sim, best, _score_tasks(names.sparkSession, n_names, E.BLOCK), materialize)
+
+    side = lambda s, *extra: names.select(F.col("nid").alias(s), F.col("block").alias(f"{s}_block"), F.col("name").alias(f"{s}_name"), *extra)
+    # The scorer has the last word: keys can meet by chance, also those of a pair that is near but not as near as they say.
+    score = edit_similarity(F.col("l_name"), F.col("r_name"))
+    same, beyond = F.col("l_block") == F.col("r_block"), F.col("len") / (F.col("len") + edits + 1)
+    sure = same & (score == F.col("similarity"))
+    lost = same & (score < F.col("similarity")) & (score > beyond - SLACK)
+    upto = Window.partitionBy("l").orderBy(F.col("similarity").desc(), "r").rowsBetween(Window.unboundedPreceding, 0)
+    pairs = near.join(side("l", "len"), "l").join(side("r", "n"), "r").withColumn("sure", sure).withColumn("lost", lost)
+    pairs, n_pairs = materialize(pairs.withColumn("names", F.count_if("sure").over(upto))
+                                 .withColumn("entries", F.sum(F.when(F.col("sure"), F.col("n"))).over(upto)), "match_near_names")
+    # k names hold the best k entries. Fewer do if they are all there are; a full list may lack some of the last one's score.
+    within = F.col("sure") & (F.col("similarity") > beyond + SLACK)
+    settled = (pairs.groupBy("l").agg(F.count_if(within & (F.col("names") >= k)).alias("by_name"),
+                                      F.count_if(within & (F.col("entries") >= k)).alias("by_entry"), F.count(F.lit(1)).alias("listed"),
+                                      F.count_if("lost").alias("lost"))
+               .filter((F.col("lost") == 0) & ((F.col("by_name") > 0) | ((F.col("by_entry") > 0) & (F.col("listed") < best)))).select("l"))
+    settled, _ = materialize(settled, "match_settled")
+    kept = pairs.filter(F.col("sure") & (F.col("names") <= k)).join(settled, "l", "left_semi")
+    return (rest.join(settled, F.col("nid") == F.col("l"), "left_anti"),
+            kept.select(F.col("l_block").alias("block"), "l_name", "r_name", "similarity"), n_pairs)
 
 
 def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int = C.MAX_CANDIDATES,
@@ -243,11 +372,13 @@ def candidates(listings: DataFrame, existing: DataFrame | None = None, k: int =
     Columns: category, bestbuy_listing_id, bestbuy_name, bestbuy_price,
     ebay_listing_id, ebay_name, ebay_price, similarity, rank.
     """
-    # The five columns of the matching, written once: they are read for the names, the ids, the stored pairs and the expansion.
-    lm, _ = materialize(matchable(listings), "match_listings")
-    if max_pairs is not None:
-        return _first_candidates(lm, existing, k, min_sim, scorer, grid, max_pairs)
-    return _all_candidates(lm, existing, k, min_sim, scorer, grid)
+    # Each table of the search is written from shuffles of its own, which are not needed after that.
+    with shuffles_dropped(listings.sparkSession):
+        # The five columns of the matching, written once: they are read for the names, the ids, the stored pairs and the expansion.
+        lm, _ = materialize(matchable(listings), "match_listings")
+        if max_pairs is not None:
+            return _first_candidates(lm, existing, k, min_sim, scorer, grid, max_pairs)
+        return _all_candidates(lm, existing, k, min_sim, scorer, grid)
 
 
 def _first_candidates(lm: DataFrame, existing: DataFrame | None, k: int, min_sim: float, scorer: Scorer, grid: int | None,

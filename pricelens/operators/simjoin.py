@@ -90,18 +90,21 @@ def bounded_pairs(left: DataFrame, right: DataFrame, slack: float = SLACK, tasks
     with the right names' columns `keep`.
 
     `left` and `right` come from `with_letters` and have `block`, `name`, `g`
-    (cells per side of the block); `left` also has `threshold` (> 0). The cells are
+    (cells per side of the block; with `h`, g rows of left names and h columns of right
+    ones); `left` also has `threshold` (> 0). The cells are
     spread over `tasks` tasks where given: their work is in the pairs, not in the bytes read.
     """
-    cells = F.explode(F.sequence(F.lit(0), F.col("g") - 1).cast("array<bigint>"))
+    h = "h" if "h" in left.columns else "g"
+    cells = lambda side: F.explode(F.sequence(F.lit(0), F.col(side) - 1).cast("array<bigint>"))
     reach = (F.lit(2.0) - F.col("threshold")) / F.col("threshold")  # longest/shortest length the threshold allows
     lo = F.when(F.col("l_len") == 0, F.lit(-1)).otherwise(
         bucket(F.greatest(F.lit(1), F.floor(F.col("l_len") / reach + slack).cast("int"))))
     hi = F.when(F.col("l_len") == 0, F.lit(-1)).otherwise(bucket(F.greatest(F.lit(1), F.ceil(F.col("l_len") * reach - slack).cast("int"))))
-    lhs = (_side(left, "l", ("g", "threshold")).withColumn("bucket", F.explode(F.sequence(lo, hi)))
-           .withColumn("gr", F.pmod(F.xxhash64("l_name"), F.col("g").cast("bigint"))).withColumn("gc", cells).drop("g"))
-    rhs = (_side(right, "r", ("g", *keep)).withColumn("bucket", bucket(F.col("r_len")))
-           .withColumn("gc", F.pmod(F.xxhash64("r_name"), F.col("g").cast("bigint"))).withColumn("gr", cells).drop("g"))
+    sides = tuple(dict.fromkeys(("g", h)))
+    lhs = (_side(left, "l", (*sides, "threshold")).withColumn("bucket", F.explode(F.sequence(lo, hi)))
+           .withColumn("gr", F.pmod(F.xxhash64("l_name"), F.col("g").cast("bigint"))).withColumn("gc", cells(h)).drop(*sides))
+    rhs = (_side(right, "r", (*sides, *keep)).withColumn("bucket", bucket(F.col("r_len")))
+           .withColumn("gc", F.pmod(F.xxhash64("r_name"), F.col(h).cast("bigint"))).withColumn("gr", cells("g")).drop(*sides))
     least = F.col("threshold") - F.lit(slack)
     if tasks is not None:
         lhs, rhs = (side.repartition(tasks, "block", "bucket", "gr", "gc") for side in (lhs, rhs))

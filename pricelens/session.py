@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -74,6 +75,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/pricelens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within it, shuffle files of a written table go with its write, instead of when the
+    driver next collects its garbage. For long chains of written tables."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def materialize(df, name: str):
     """Write `df` once as a table under the shared checkpoint folder and read
     it back: cuts the lineage (a lost executor re-reads the files instead of
